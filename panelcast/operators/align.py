@@ -155,4 +155,5 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
     w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(time, "_side")
     filled = u.withColumns({v: F.last(v, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for v in value_cols})
-    return filled.filter(F.col("_side") == 1).drop("_side").select(*left.columns)
+    out_cols = list(left.columns) + [v for v in value_cols if v not in left.columns]
+    return filled.filter(F.col("_side") == 1).drop("_side").select(*out_cols)

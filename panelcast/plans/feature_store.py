@@ -67,7 +67,8 @@ def stable_round(c, digits: int = 4):
     return F.round(F.col(c) * F.lit(TIE_NUDGE) if isinstance(c, str) else c * F.lit(TIE_NUDGE), digits)
 
 
-def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
+def round_doubles(df: DataFrame, digits: int = 4, skip: Sequence[str] = ()) -> DataFrame:
     """Report formatting: round every DOUBLE column (used for oracle output)."""
-    return df.select(*[stable_round(f.name, digits).alias(f.name) if f.dataType.typeName() in ("double", "float")
+    return df.select(*[stable_round(f.name, digits).alias(f.name)
+                       if f.dataType.typeName() in ("double", "float") and f.name not in skip
                        else F.col(f.name) for f in df.schema.fields])
