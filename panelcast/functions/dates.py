@@ -74,11 +74,18 @@ def parse_thai_long_date(s) -> Column:
 
 
 def parse_any_date(s, formats: Iterable[str] = FALLBACK_FORMATS) -> Column:
-    """fallback parse with an explicit format list, then BE correction."""
+    """fallback parse with an explicit format list.
+
+    A Buddhist-era year (a 4-digit token above 2400) is converted in the
+    text before parsing, as in F1, so BE leap days such as 2543-02-29
+    resolve to 2000-02-29 instead of failing (2543 is not a leap year).
+    """
     t = F.trim(_col(s))
-    ts = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
-    d = F.to_date(ts)
-    return F.when(F.year(d) > BE_YEAR_CUTOFF, F.add_months(d, -12 * BE_YEAR_OFFSET)).otherwise(d)
+    year = F.regexp_extract(t, r"(?<!\d)(\d{4})(?!\d)", 1)
+    be = (year != "") & (year.try_cast("int") > BE_YEAR_CUTOFF)
+    fixed = F.when(be, F.replace(t, year, (year.try_cast("int") - BE_YEAR_OFFSET).cast("string"))).otherwise(t)
+    ts = F.coalesce(*[F.try_to_timestamp(fixed, F.lit(f)) for f in formats])
+    return F.to_date(ts)
 
 
 def parse_thai_date(s) -> Column:
