@@ -22,8 +22,7 @@ THAI_MONTHS = (
 
 # Formats tried, in order, by the fallback parser.
 FALLBACK_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd",
-    "d MMM yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy", "yyyyMMdd",
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy", "MMM d, yyyy",
 )
 
 _SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
@@ -73,19 +72,30 @@ def parse_thai_long_date(s) -> Column:
     return F.when(F.size(parts) == 3, _ymd_to_date(be_year(year), month, day))
 
 
+_YEAR_TOKEN = r"(?<!\d)(\d{4})(?!\d)"
+
+
+def be_corrected_text(t: Column, year: Column | None = None) -> Column:
+    """Replace a Buddhist-era year token (4 digits above 2400) by its
+    Gregorian value inside the text; ``year`` is the extracted token as INT
+    when the caller already has it."""
+    y = year if year is not None else F.regexp_extract(t, _YEAR_TOKEN, 1).try_cast("int")
+    return F.when(y > BE_YEAR_CUTOFF, F.replace(t, y.cast("string"), (y - BE_YEAR_OFFSET).cast("string"))).otherwise(t)
+
+
+def parse_formats(t: Column, formats: Iterable[str] = FALLBACK_FORMATS) -> Column:
+    return F.to_date(F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]))
+
+
 def parse_any_date(s, formats: Iterable[str] = FALLBACK_FORMATS) -> Column:
     """fallback parse with an explicit format list.
 
-    A Buddhist-era year (a 4-digit token above 2400) is converted in the
-    text before parsing, as in F1, so BE leap days such as 2543-02-29
-    resolve to 2000-02-29 instead of failing (2543 is not a leap year).
+    A Buddhist-era year is converted in the text before parsing, as in F1,
+    so BE leap days such as 2543-02-29 resolve to 2000-02-29 instead of
+    failing (2543 is not a leap year).  For large format lists prefer
+    ``with_parsed_date``, which computes the corrected text once.
     """
-    t = F.trim(_col(s))
-    year = F.regexp_extract(t, r"(?<!\d)(\d{4})(?!\d)", 1)
-    be = (year != "") & (year.try_cast("int") > BE_YEAR_CUTOFF)
-    fixed = F.when(be, F.replace(t, year, (year.try_cast("int") - BE_YEAR_OFFSET).cast("string"))).otherwise(t)
-    ts = F.coalesce(*[F.try_to_timestamp(fixed, F.lit(f)) for f in formats])
-    return F.to_date(ts)
+    return parse_formats(be_corrected_text(F.trim(_col(s))), formats)
 
 
 def parse_thai_date(s) -> Column:
@@ -93,6 +103,19 @@ def parse_thai_date(s) -> Column:
     return F.coalesce(parse_be_slash_date(s), parse_thai_long_date(s), parse_any_date(s))
 
 
+def with_parsed_date(df, src: str, out: str = "date", formats: Iterable[str] = FALLBACK_FORMATS):
+    """DataFrame form of ``parse_thai_date`` in staged projections: the
+    trimmed and the BE-corrected texts are columns computed once (Catalyst
+    does not inline a regex projection referenced several times), which
+    keeps the generated code of the stage small."""
+    staged = (df.withColumn("_pd_t", F.trim(F.col(src)))
+              .withColumn("_pd_y", F.regexp_extract(F.col("_pd_t"), _YEAR_TOKEN, 1).try_cast("int"))
+              .withColumn("_pd_fix", be_corrected_text(F.col("_pd_t"), F.col("_pd_y"))))
+    parsed = F.coalesce(parse_be_slash_date(F.col("_pd_t")), parse_thai_long_date(F.col("_pd_t")),
+                        parse_formats(F.col("_pd_fix"), formats))
+    return staged.withColumn(out, parsed).drop("_pd_t", "_pd_y", "_pd_fix")
+
+
 def normalize_time(s) -> Column:
     """first ``H:MM`` inside the text -> ``H:MM:00``; none -> NULL."""
     hm = F.regexp_extract(F.trim(_col(s)), _TIME_HM, 1)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,19 +19,28 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def dedupe(df: DataFrame, key, order, keep: str = "last") -> DataFrame:
+def dedupe(df: DataFrame, key, order, keep: str = "last", where: Column | None = None) -> DataFrame:
     """Keep one row per ``key``: the one with the greatest (``keep='last'``)
     or smallest (``keep='first'``) ``order``.
 
     W9 is ``keep='last'`` in arrival order, W10 ``keep='first'``.  Arrival
     order must be a column (a timestamp or a source row id).  Rows tied on
     ``order`` are resolved by the remaining columns, deterministically.
+
+    ``where`` keeps only qualifying rows.  It is applied inside the
+    aggregate (``max(when(where, row))``) rather than as a Filter in front
+    of it: a Filter would be pushed down through the projections and inline
+    expensive derived columns (e.g. a parsed date) a second time.
     """
     key, order = _as_list(key), _as_list(order)
     rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
+    packed = F.struct(*[F.col(c) for c in order + rest])
+    if where is not None:
+        packed = F.when(where, packed)
     agg = F.max(packed) if keep == "last" else F.min(packed)
     out = df.groupBy(*key).agg(agg.alias("_row"))
+    if where is not None:
+        out = out.filter(F.col("_row").isNotNull())
     return out.select(*key, *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 

@@ -57,7 +57,7 @@ def f3_fallback_dates(spark, sf_dir):
     raw = (F.when(F.col("l_returnflag") == "R", be_iso)
            .when(F.col("l_returnflag") == "A", F.date_format("l_shipdate", "yyyy/MM/dd"))
            .otherwise(D.to_be_slash(d)))
-    return li.select("l_orderkey", "l_linenumber", raw.alias("raw")).withColumn("parsed", D.parse_thai_date("raw"))
+    return D.with_parsed_date(li.select("l_orderkey", "l_linenumber", raw.alias("raw")), "raw", "parsed")
 
 
 @register("f4_f6_times", ("F4", "F5", "F6"), """
