@@ -1 +1,168 @@
-"""Registered queries."""
+"""Registered queries: model fitting, comparison, forecasting and
+explanations (M1-M19, C5, C6).
+
+The panel feature store has one gold series per order priority; linear
+models are fitted per priority from sufficient statistics.  Single-feature
+fits have a DuckDB oracle (``regr_slope`` / ``regr_intercept``); multi-
+feature fits, tree models, forecasts and surrogates are checked by row
+count (and by the unit tests against numpy).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import FeatureConfig, ForecastConfig, ModelConfig
+from ..models import compare as CMP
+from ..models import explain as EX
+from ..models import forecast as FC
+from ..models import linear as LIN
+from ..operators.features import feature_columns
+from ..operators.stats import attach_stats
+from .feature_store import business_day_store, round_doubles
+from .q_stats import GOLD
+from .registry import register
+from .series import all_series, gold_series
+from .sqlgen import R
+
+E = ("o_orderpriority",)
+PANEL = FeatureConfig(entity=E)
+VARS = ("gold", "fx", "cpi", "oil", "set")
+FEATURES = feature_columns(VARS, PANEL)          # 25 features (no optional btc)
+LABEL = "gold_next"
+
+
+def panel_store(spark, sf_dir):
+    series = all_series(spark, sf_dir, with_btc=False, by_priority=True)
+    return business_day_store(spark, series, PANEL)
+
+
+def _gold_next(spark, sf_dir):
+    g = gold_series(spark, sf_dir)
+    from ..operators.align import series_window
+    return g.withColumn(LABEL, F.lead("gold").over(series_window(E)))
+
+
+_SINGLE = f"""WITH {GOLD}, n AS (SELECT *, lead(gold) OVER (PARTITION BY o_orderpriority ORDER BY date) AS gold_next FROM gold),
+c AS (SELECT o_orderpriority, regr_intercept(gold_next, gold) AS intercept, regr_slope(gold_next, gold) AS slope
+      FROM n WHERE gold_next IS NOT NULL GROUP BY 1)"""
+
+
+@register("m1_ols_single_feature", ("M1", "A7"), f"""
+{_SINGLE}
+SELECT o_orderpriority, {R('intercept', 2)} AS intercept, {R('slope', 8)} AS slope FROM c""")
+def m1_ols_single_feature(spark, sf_dir):
+    """Next-day price on today's price per priority (OLS from sums)."""
+    m = LIN.fit_linear(_gold_next(spark, sf_dir), ["gold"], LABEL, E)
+    return m.select(*E, F.round(F.col("intercept") * F.lit(1.000000000001), 2).alias("intercept"),
+                    F.round(F.col("coef")[0] * F.lit(1.000000000001), 8).alias("slope"))
+
+
+@register("m18_batch_scoring", ("M18", "M12"), f"""
+{_SINGLE}
+SELECT n.o_orderpriority, n.date, {R('c.intercept + c.slope * n.gold', 2)} AS prediction
+FROM n JOIN c USING (o_orderpriority)""")
+def m18_batch_scoring(spark, sf_dir):
+    d = _gold_next(spark, sf_dir)
+    m = LIN.fit_linear(d, ["gold"], LABEL, E)
+    s = LIN.score(d.select(*E, "date", "gold"), m, ["gold"], E)
+    return s.select(*E, "date", F.round(F.col("prediction") * F.lit(1.000000000001), 2).alias("prediction"))
+
+
+@register("m16_linear_attribution", ("M16",), f"""
+{_SINGLE}, mu AS (SELECT o_orderpriority, avg(gold) AS mu FROM gold GROUP BY 1)
+SELECT o_orderpriority, 'gold' AS feature, {R('avg(abs(c.slope * (g.gold - mu.mu)))', 2)} AS mean_abs_shap
+FROM gold g JOIN c USING (o_orderpriority) JOIN mu USING (o_orderpriority) GROUP BY 1""")
+def m16_linear_attribution(spark, sf_dir):
+    """Contribution of today's price to the next-day prediction, relative
+    to the mean price (background = all rows)."""
+    d = _gold_next(spark, sf_dir)
+    m = LIN.fit_linear(d, ["gold"], LABEL, E)
+    _local, glob = EX.linear_attribution(d.select(*E, "date", "gold"), m, ["gold"], E)
+    return glob.withColumn("mean_abs_shap", F.round(F.col("mean_abs_shap") * F.lit(1.000000000001), 2))
+
+
+@register("m1_m2_linear_fit", ("M1", "M2", "P14", "P16", "J6"))
+def m1_m2_linear_fit(spark, sf_dir):
+    """OLS and ridge (alpha 1) on the 25-feature store, per priority:
+    coefficient table (entity, alpha, feature, weight)."""
+    m = LIN.fit_linear(panel_store(spark, sf_dir), FEATURES, LABEL, E, (0.0, 1.0))
+    return EX.coefficient_table(m.withColumnRenamed("alpha", "_a"), FEATURES, [*E, "_a"]).withColumnRenamed(
+        "_a", "alpha")
+
+
+@register("m7_train_compare", ("M7", "M8", "M1", "M2", "M3", "W17", "W18", "A15", "K5", "C5"))
+def m7_train_compare(spark, sf_dir):
+    """Linear, ridge (per priority, with 5-fold contiguous CV) and lasso
+    (pooled MLlib) on a chronological 80/20 split; comparison table."""
+    return CMP.train_compare(panel_store(spark, sf_dir), FEATURES, LABEL, ("linear", "ridge", "lasso"),
+                             ModelConfig(), E)
+
+
+@register("m4_m6_tree_models", ("M4", "M5", "M6"))
+def m4_m6_tree_models(spark, sf_dir):
+    """Random forest and three boosting configurations (pooled MLlib)."""
+    return CMP.train_compare(panel_store(spark, sf_dir), FEATURES, LABEL, ("rf", "gbm", "xgb", "lgb"),
+                             ModelConfig(), E)
+
+
+@register("m8_best_model", ("M8", "K5"))
+def m8_best_model(spark, sf_dir):
+    cmp = CMP.train_compare(panel_store(spark, sf_dir), FEATURES, LABEL, ("linear", "ridge"), ModelConfig(), E)
+    return CMP.best_models(cmp, E)
+
+
+@register("m9_grid_search", ("M9", "W18"))
+def m9_grid_search(spark, sf_dir):
+    """Ridge alpha grid, 5 contiguous folds from one statistics pass."""
+    return CMP.grid_search(panel_store(spark, sf_dir), FEATURES, LABEL, ModelConfig(), E)
+
+
+def _forecast_inputs(spark, sf_dir):
+    store = panel_store(spark, sf_dir).cache()
+    model = LIN.fit_linear(store, FEATURES, LABEL, E, (1.0,))
+    latest = FC.latest_rows(store, ["date", *FC.state_fields(FEATURES, "gold")], E)
+    return latest, model
+
+
+@register("m13_recursive_forecast", ("M13", "M14", "W20", "F14", "F16", "F17", "F20", "C6"))
+def m13_recursive_forecast(spark, sf_dir):
+    """7 open-day forecast per priority (Sunday closed) with the ridge model."""
+    latest, model = _forecast_inputs(spark, sf_dir)
+    cfg = ForecastConfig(entity=E, horizon=7)
+    return FC.forecast_table(FC.recursive_forecast(latest, model, FEATURES, "gold", cfg), cfg)
+
+
+@register("m12_one_step", ("M12", "K6", "F17", "S21"))
+def m12_one_step(spark, sf_dir):
+    latest, model = _forecast_inputs(spark, sf_dir)
+    return FC.one_step(latest, model, FEATURES, "gold", ForecastConfig(entity=E))
+
+
+@register("m15_feature_importance", ("M15", "J6", "A19", "A20", "A21", "K4"))
+def m15_feature_importance(spark, sf_dir):
+    """|ridge coefficient| shares per priority, top 10."""
+    model = LIN.fit_linear(panel_store(spark, sf_dir), FEATURES, LABEL, E, (1.0,))
+    return EX.importance(model, FEATURES, E, top=10)
+
+
+@register("m17_local_surrogate", ("M17", "K8"))
+def m17_local_surrogate(spark, sf_dir):
+    """Local weighted linear surrogates around 20 seeded rows of the store,
+    500 perturbations each, explaining the ridge model."""
+    store = panel_store(spark, sf_dir).cache()
+    model = LIN.fit_linear(store, FEATURES, LABEL, E, (1.0,))
+    sample = store.orderBy(F.xxhash64("o_orderpriority", "date", F.lit(42)), "o_orderpriority", "date").limit(20)
+    sample = sample.withColumn("instance", F.concat_ws("|", "o_orderpriority", F.col("date").cast("string")))
+    scale = store.agg(*[F.stddev_samp(f).alias(f"_sd_{f}") for f in FEATURES])
+    inst_entity = sample.select("instance", *E)
+    m = model.drop("alpha")
+
+    def scorer(pert):
+        p = attach_stats(pert, inst_entity, ["instance"])
+        return LIN.score(p, m, FEATURES, E)
+
+    return EX.local_surrogate(sample, "instance", FEATURES, scorer, scale, samples=500)
+
+
+_ = round_doubles
