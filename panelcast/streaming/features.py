@@ -12,6 +12,7 @@ computation (W1, W3, W4) over the whole history.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,6 +24,10 @@ from ..config import LAGS, ROLL_MIN_PERIODS, ROLL_WINDOW
 
 CONTEXT_ROWS = 14   # rows kept per entity (the reference's context length)
 
+# PySpark's state serializer pads batches with empty frames, which pandas 2.x
+# reports as a FutureWarning on every micro-batch; it is not actionable here.
+warnings.filterwarnings("ignore", category=FutureWarning, module="pyspark.sql.pandas.serializers")
+
 
 def feature_schema(entity: str, time: str, value: str, lags: Sequence[int]) -> str:
     cols = [f"{entity} bigint", f"{time} timestamp_ntz", f"{value} double"]
