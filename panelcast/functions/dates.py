@@ -24,6 +24,16 @@ THAI_MONTHS = (
 FALLBACK_FORMATS = (
     "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy", "MMM d, yyyy",
 )
+# Shape of the text each format can parse.  A format is only tried on text
+# of its shape: a failed parse costs a JVM exception per row, a regex test
+# does not.
+FORMAT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+}
 
 _SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 _TIME_HM = r"(\d{1,2}:\d{2})"
@@ -84,7 +94,12 @@ def be_corrected_text(t: Column, year: Column | None = None) -> Column:
 
 
 def parse_formats(t: Column, formats: Iterable[str] = FALLBACK_FORMATS) -> Column:
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]))
+    tries = []
+    for f in formats:
+        parsed = F.try_to_timestamp(t, F.lit(f))
+        shape = FORMAT_SHAPES.get(f)
+        tries.append(F.when(t.rlike(shape), parsed) if shape else parsed)
+    return F.to_date(F.coalesce(*tries))
 
 
 def parse_any_date(s, formats: Iterable[str] = FALLBACK_FORMATS) -> Column:

@@ -29,8 +29,13 @@ def repair_gold(raw: DataFrame, date_col: str, price_cols: Sequence[str], seq, o
     lo, hi = bounds
     d = with_parsed_date(raw, date_col, "date")
     d = d.withColumns({c: clean_numeric(c) for c in price_cols})
-    violations = d.agg(*[F.count_if(out_of_range(c, lo, hi)).alias(c) for c in price_cols])
-    d = d.withColumns({c: in_range_or_null(c, lo, hi) for c in price_cols})
+    ranged = {c: in_range_or_null(c, lo, hi) for c in price_cols}
+    ok_expr = F.col("date").isNotNull() & F.coalesce(*ranged.values()).isNotNull()
+    # One aggregate (no Filter to push into the parse) counts violations per
+    # column and rejected rows.
+    violations = d.agg(*[F.count_if(out_of_range(c, lo, hi)).alias(c) for c in price_cols],
+                       F.count_if(~ok_expr).alias("rejected"))
+    d = d.withColumns(ranged)
     ok = F.col("date").isNotNull() & F.coalesce(*[F.col(c) for c in price_cols]).isNotNull()
     rejected = d.filter(~ok)
     clean = dedupe(d, "date", seq, keep="last", where=ok)
