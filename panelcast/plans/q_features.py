@@ -37,6 +37,17 @@ def c3_daily_store(spark, sf_dir):
                                             drop_subset=("gold", "gold_lag1", "gold_lag3")))
 
 
+@register("c2_feature_store_roll5", ("C2", "W3"),
+          feature_store_sql(variables=("gold", "fx", "cpi", "oil", "set"), entity=False, roll=5,
+                            roll_name="roll5"))
+def c2_feature_store_roll5(spark, sf_dir):
+    """Older builder variant: the rolling window is a parameter (5 rows,
+    3 needed) and the column name follows it (``_roll5``)."""
+    series = all_series(spark, sf_dir, with_btc=False, by_priority=False)
+    cfg = FeatureConfig(roll=5, roll_name="roll5")
+    return round_doubles(business_day_store(spark, series, cfg))
+
+
 _C4_SQL = f"""
 WITH g AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold FROM orders GROUP BY 1),
 fx AS (SELECT CAST(strftime(l_shipdate, '%Y-%m') || '-01' AS DATE) AS date, avg(l_discount) AS fx

@@ -41,6 +41,22 @@ def w1_w5_series_features(spark, sf_dir):
     return round_doubles(out.drop("gold_pct_change"), skip=["_pc"]).withColumnRenamed("_pc", "gold_pct_change")
 
 
+@register("p15_fill_zero_vector", ("P15", "T3", "W1", "W4"), f"""
+WITH {GOLD}
+SELECT o_orderpriority, date, {R('gold')} AS gold,
+  {R(f'coalesce(lag(gold, 1) {W}), 0)')} AS gold_lag1, {R(f'coalesce(lag(gold, 3) {W}), 0)')} AS gold_lag3,
+  {R(f'coalesce(gold / NULLIF(lag(gold) {W}), 0) - 1, 0)', 6)} AS gold_pct_change
+FROM gold""")
+def p15_fill_zero_vector(spark, sf_dir):
+    """Scoring-API feature vectors: missing lags / changes become 0."""
+    g = gold_series(spark, sf_dir)
+    w = series_window(E)
+    v = g.select(*E, "date", "gold", FT.lag_col("gold", 1, w).alias("gold_lag1"),
+                 FT.lag_col("gold", 3, w).alias("gold_lag3"),
+                 F.round(FT.pct_change_col("gold", w) * F.lit(1.000000000001), 6).alias("gold_pct_change"))
+    return round_doubles(v.fillna(0), skip=["gold_pct_change"])
+
+
 @register("w6_w8_fills", ("W6", "W7", "W8", "F15", "J1"), f"""
 WITH {GOLD}, b AS (SELECT min(date) AS lo, max(date) AS hi FROM gold),
 days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM b),

@@ -47,7 +47,7 @@ def R(expr: str, digits: int = 4) -> str:
 
 def feature_store_sql(variables=("gold", "fx", "cpi", "oil", "set", "btc"), entity: bool = True,
                       daily: bool = False, backfill: bool = True, drop_subset=None,
-                      bounds_vars=None, lags=(1, 3), roll=7, minp=3, digits=4) -> str:
+                      bounds_vars=None, lags=(1, 3), roll=7, minp=3, digits=4, roll_name="roll7_mean") -> str:
     gkey = "gold" if entity else "gold1"
     ctes = [SERIES_CTES[gkey if v == "gold" else v] for v in variables]
     bounds_vars = bounds_vars or variables
@@ -82,13 +82,13 @@ def feature_store_sql(variables=("gold", "fx", "cpi", "oil", "set", "btc"), enti
         for k in lags:
             feats.append(f"lag({q(v)}, {k}) {w}) AS {v}_lag{k}")
         rw = f"{w} ROWS BETWEEN {roll - 1} PRECEDING AND CURRENT ROW)"
-        feats.append(f"CASE WHEN count({q(v)}) {rw} >= {minp} THEN avg({q(v)}) {rw} END AS {v}_roll7_mean")
+        feats.append(f"CASE WHEN count({q(v)}) {rw} >= {minp} THEN avg({q(v)}) {rw} END AS {v}_{roll_name}")
         feats.append(f"{q(v)} / NULLIF(lag({q(v)}) {w}), 0) - 1 AS {v}_pct_change")
     ctes.append(f"feats AS (SELECT *, {', '.join(feats)} FROM panel)")
     cols = ([("o_orderpriority", False)] if entity else []) + [("date", False)]
     cols += [(v, True) for v in variables] + [("gold_next", True)]
     for v in variables:
-        cols += [(f"{v}_lag{k}", True) for k in lags] + [(f"{v}_roll7_mean", True), (f"{v}_pct_change", True)]
+        cols += [(f"{v}_lag{k}", True) for k in lags] + [(f"{v}_{roll_name}", True), (f"{v}_pct_change", True)]
     subset = drop_subset if drop_subset is not None else [c for c, _ in cols]
     where = " AND ".join(f"{q(c)} IS NOT NULL" for c in subset)
     sel = ", ".join(f"{R(q(c), digits)} AS {q(c)}" if dbl else q(c) for c, dbl in cols)
