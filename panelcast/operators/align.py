@@ -143,17 +143,21 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
               time: str = "date") -> DataFrame:
     """For each left row, the last right value at or before its time.
 
-    Union of both sides tagged by origin, forward fill over the merged
-    order, keep left rows.  Rows of the right side at the same time sort
-    before the left row so they count as "at or before".
+    The as-of value is resolved on the *distinct* left keys (entity, time) -
+    bounded by entities x calendar days, not by the left table - by a union
+    with the right side and a forward fill in key order; right rows at the
+    same time sort first so they count as "at or before".  The result is
+    then equi-joined back to the left rows, so a large left table is never
+    ordered inside one window.
     """
-    lcols = [c for c in left.columns if c not in value_cols]
-    l_ = left.select(*lcols, *[F.lit(None).cast("double").alias(v) for v in value_cols],
-                     F.lit(1).alias("_side"))
-    r_ = right.select(*entity, time, *value_cols, F.lit(0).alias("_side"))
-    u = l_.unionByName(r_, allowMissingColumns=True)
+    keys = [*entity, time]
+    lk = left.select(*keys).distinct().select(*keys, *[F.lit(None).cast("double").alias(v) for v in value_cols],
+                                              F.lit(1).alias("_side"))
+    rk = right.select(*keys, *[F.col(v).cast("double").alias(v) for v in value_cols], F.lit(0).alias("_side"))
     w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(time, "_side")
-    filled = u.withColumns({v: F.last(v, ignorenulls=True).over(
+    filled = lk.unionByName(rk).withColumns({v: F.last(v, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for v in value_cols})
-    out_cols = list(left.columns) + [v for v in value_cols if v not in left.columns]
-    return filled.filter(F.col("_side") == 1).drop("_side").select(*out_cols)
+    resolved = filled.filter(F.col("_side") == 1).drop("_side")
+    base = left.drop(*[v for v in value_cols if v in left.columns])
+    out_cols = list(base.columns) + list(value_cols)
+    return base.join(resolved, keys, "left").select(*out_cols)

@@ -77,18 +77,14 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (),
     """(x - min) / (max - min) per entity; 0 when the range is 0.
 
     Per-entity min/max are a grouped aggregate joined back on the entity
-    (one row per entity), not an unpartitioned window.
+    (one row per entity; a broadcast one-row aggregate without entity), not
+    an unpartitioned window.
     """
+    from .stats import attach_stats
     aggs = []
     for c in cols:
         aggs += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}")]
-    if entity:
-        stats = df.groupBy(*entity).agg(*aggs)
-        joined = df.join(stats, list(entity), "left")
-    else:
-        w = Window.partitionBy()
-        joined = df.withColumns({f"_min_{c}": F.min(c).over(w) for c in cols}
-                                | {f"_max_{c}": F.max(c).over(w) for c in cols})
+    joined = attach_stats(df, df.groupBy(*entity).agg(*aggs), entity)
     out = joined.withColumns({
         f"{c}{suffix}": F.coalesce(F.try_divide(F.col(c) - F.col(f"_min_{c}"),
                                                 F.col(f"_max_{c}") - F.col(f"_min_{c}")), F.lit(0.0))

@@ -43,13 +43,24 @@ def contiguous_folds(df: DataFrame, k: int = 5, entity: Sequence[str] = (), time
 
 def series_checks(df: DataFrame, time: str = "date", seq: str | None = None,
                   entity: Sequence[str] = ()) -> DataFrame:
-    """Is ``time`` monotonic increasing in arrival order ``seq`` and
-    unique?  One row per entity."""
-    order = seq or time
-    w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(order)
-    step_ok = F.coalesce(F.col(time) >= F.lag(time).over(w), F.lit(True))
-    checked = df.withColumn("_ok", step_ok)
-    return checked.groupBy(*entity).agg(
-        F.coalesce(F.bool_and("_ok"), F.lit(True)).alias("monotonic"),
-        (F.count(F.lit(1)) == F.countDistinct(time)).alias("unique"),
-        F.count(F.lit(1)).alias("rows"))
+    """Is ``time`` non-decreasing in arrival order ``seq`` and unique?
+    One row per entity.
+
+    Raw rows of one entity are not ordered inside one window: each row gets
+    its distributed position in ``seq`` order (``global_index``) and is
+    compared with its successor through an equi-join on (entity, position),
+    whose keys are unique, so a hot entity spreads over all tasks.
+    """
+    from .ranks import global_index
+    entity = list(entity)
+    counts = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("rows"),
+                                     (F.count(F.lit(1)) == F.countDistinct(time)).alias("unique"))
+    if seq is None:
+        return counts.withColumn("monotonic", F.lit(True))
+    pos = global_index(df.select(*entity, time, seq), [seq], entity, col="_pos")
+    nxt = pos.select(*entity, (F.col("_pos") - 1).alias("_pos"), F.col(time).alias("_next"))
+    steps = pos.join(nxt, [*entity, "_pos"])
+    bad = steps.groupBy(*entity).agg(F.count_if(F.col("_next") < F.col(time)).alias("_bad"))
+    from .stats import attach_stats
+    out = attach_stats(counts, bad, entity)
+    return out.select(*entity, (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("monotonic"), "unique", "rows")

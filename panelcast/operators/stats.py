@@ -135,10 +135,16 @@ def range_report(df: DataFrame, time: str = "date", value: str | None = None,
 
 
 def gap_count(df: DataFrame, days: int = 7, entity: Sequence[str] = (), time: str = "date") -> DataFrame:
-    """Number of steps with more than ``days`` between consecutive dates."""
+    """Number of steps with more than ``days`` between consecutive dates.
+
+    Repeated dates only add gaps of 0, so the window runs over the distinct
+    (entity, date) pairs - at most one row per calendar day per entity, even
+    for an entity that holds most of the rows.
+    """
+    d = df.select(*entity, F.to_date(time).alias(time)).distinct()
     w = series_window(entity, time)
     gap = F.datediff(F.col(time), F.lag(time).over(w))
-    return df.withColumn("_gap", gap).groupBy(*entity).agg(F.count_if(F.col("_gap") > days).alias("gaps"))
+    return d.withColumn("_gap", gap).groupBy(*entity).agg(F.count_if(F.col("_gap") > days).alias("gaps"))
 
 
 def null_report(df: DataFrame, cols: Sequence[str] | None = None, top: int = 10) -> DataFrame:

@@ -40,7 +40,11 @@ def repair_gold(raw: DataFrame, date_col: str, price_cols: Sequence[str], seq, o
     rejected = d.filter(~ok)
     clean = dedupe(d, "date", seq, keep="last", where=ok)
     if outlier_col:
-        clean = outlier_flags(clean, outlier_col, (), "iqr", OUTLIER_IQR_THRESHOLD, OUTLIER_MIN_SUPPORT)
+        # The outlier step reads its input three times (percentiles, support
+        # count, flags); the de-duplicated table has one row per date, so it
+        # is checkpointed once and the parse runs a single time.
+        clean = outlier_flags(clean.checkpoint(), outlier_col, (), "iqr", OUTLIER_IQR_THRESHOLD,
+                              OUTLIER_MIN_SUPPORT)
     return clean, rejected, violations
 
 
