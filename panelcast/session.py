@@ -48,9 +48,35 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in SQL_DEFAULTS.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelcast`` importable in Python workers (pandas UDFs, state
+    functions), whatever the driver's working directory: the package is
+    zipped once per driver process and added with ``addPyFile``, as
+    ``--py-files`` would do on a cluster."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="panelcast-pyfiles-"), "panelcast.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
