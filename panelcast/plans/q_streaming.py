@@ -23,24 +23,34 @@ from .sqlgen import R
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _deliver(spark, sf_dir, corrections: bool = False) -> str:
-    """Write events as weekly chunks into one folder (append, in order)."""
+def _deliver(spark, sf_dir, corrections: bool = False) -> tuple[str, int]:
+    """Write events as weekly chunks into one folder (append, in order);
+    returns the folder and the number of files per chunk."""
     ev = read_table(spark, sf_dir, "events")
-    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     weeks = (b["hi"] - b["lo"]).days // 7 + 1
     path = scratch_path(spark, f"stream-src-{uuid.uuid4().hex}")
     chunk = F.floor(F.datediff(F.col("ts"), F.lit(b["lo"]).cast("timestamp_ntz")) / 7)
-    n_files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    n_files = files_per_chunk(b["n"], weeks)
     for c in range(weeks):
         part = ev.filter(chunk == c).repartition(n_files, "user_id")
         part.write.mode("append").parquet(path)
     if corrections:
         fix = ev.filter(F.dayofmonth("ts").isin(5, 6)).withColumn("value", F.col("value") * 2)
         fix.repartition(n_files, "user_id").write.mode("append").parquet(path)
-    return path
+    return path, n_files
 
 
-def _source(spark, path: str, files: int = 4):
+def files_per_chunk(rows: int, chunks: int, rows_per_file: int = 1_000_000) -> int:
+    """Files per weekly chunk: about a million rows each, 2..512."""
+    return int(min(512, max(2, -(-rows // max(1, chunks) // rows_per_file))))
+
+
+def _source(spark, delivered: tuple[str, int]):
+    """File stream over the delivered chunks, about one chunk per micro-batch
+    (a user's rows of one chunk sit in one file, so per-user order holds even
+    when a micro-batch straddles two chunks)."""
+    path, files = delivered
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(path)
 
 
@@ -109,7 +119,7 @@ def t5_stream_monitoring(spark, sf_dir):
     back bounded to its newest 100 entries."""
     src = _deliver(spark, sf_dir)
     out = scratch_path(spark, f"stream-t5-{uuid.uuid4().hex}")
-    run_available(_source(spark, src, files=2), checkpoint=f"{out}/_checkpoint",
+    run_available(_source(spark, src), checkpoint=f"{out}/_checkpoint",
                   foreach_batch=history_sink(f"{out}/history", "value"))
     hist = spark.read.parquet(f"{out}/history")
     return hist.orderBy(F.col("batch_id").desc()).limit(100)
