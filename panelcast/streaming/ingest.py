@@ -56,14 +56,27 @@ def history_sink(path: str, value: str):
 
 
 def run_available(stream_df: DataFrame, sink: str | None = None, checkpoint: str = "", fmt: str = "parquet",
-                  foreach_batch=None, output_mode: str = "append", timeout_s: int = 600) -> None:
-    """Run a streaming query over everything available, then stop."""
+                  foreach_batch=None, output_mode: str = "append", timeout_s: int = 600,
+                  state_partitions: int | None = None) -> None:
+    """Run a streaming query over everything available, then stop.
+
+    ``state_partitions`` fixes the number of state-store partitions of a
+    stateful query (it is frozen in the checkpoint at the first start);
+    when given, it is set only while the query starts.
+    """
+    spark = stream_df.sparkSession
     w = stream_df.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     w = w.trigger(availableNow=True)
-    if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).start()
-    else:
-        q = w.format(fmt).option("path", sink).start()
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if foreach_batch is not None:
+            q = w.foreachBatch(foreach_batch).start()
+        else:
+            q = w.format(fmt).option("path", sink).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

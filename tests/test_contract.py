@@ -11,7 +11,8 @@ from panelcast.plans.series import TABLES
 
 SF = "/root/testdata/sf0.001"
 QUICK = ["c1_feature_store_single", "a4_descriptive_stats", "a13_measurement_summary", "w9_dedupe_keep_last",
-         "f3_fallback_dates", "q11_monitoring_report", "m1_ols_single_feature", "s13_chunks"]
+         "f3_fallback_dates", "q11_monitoring_report", "m1_ols_single_feature", "s13_chunks",
+         "t3_stream_features", "j4_asof_join", "s9_html_tables", "w19_series_checks", "a12_gap_count"]
 
 
 def test_entry_runs(spark):
