@@ -19,7 +19,12 @@ from ..operators.stats import attach_stats, regression_metrics
 from . import linear as LIN
 from . import mllib as ML
 
-LINEAR_KINDS = {"linear": 0.0, "ridge": None}
+# name -> (penalty, alpha attribute of ModelConfig or a fixed alpha)
+LINEAR_KINDS = {"linear": ("l2", 0.0), "ridge": ("l2", "ridge_alpha"), "lasso": ("l1", "lasso_alpha")}
+
+
+def _alpha(cfg: ModelConfig, spec) -> float:
+    return float(getattr(cfg, spec) if isinstance(spec, str) else spec)
 METRIC_COLS = ["model", "mae", "mse", "rmse", "r2", "mape", "cv_mae", "cv_std"]
 
 
@@ -45,30 +50,27 @@ def train_compare(df: DataFrame, features: Sequence[str], label: str, models: Se
     data = prepare(df, features, label, cfg, entity, time).cache()
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
-    out = []
-    lin = [m for m in models if m in LINEAR_KINDS]
-    if lin:
-        alphas = [0.0 if m == "linear" else cfg.ridge_alpha for m in lin]
-        names = F.create_map(*sum(([F.lit(a), F.lit(m)] for a, m in zip(alphas, lin)), []))
-        fitted = LIN.fit_linear(train, features, label, entity, alphas)
-        for a, m in zip(alphas, lin):
-            one = fitted.filter(F.col("alpha") == a)
-            s = LIN.score(test, one, features, entity)
-            out.append(_metrics(s, label, m, entity))
-        cv = LIN.cross_validate(train, features, label, "fold", entity, alphas, cfg.folds)
-        cv = cv.withColumn("model", names[F.col("alpha")]).drop("alpha")
-    else:
-        cv = None
+    out, cvs = [], []
     for m in models:
         if m in LINEAR_KINDS:
-            continue
-        model = ML.fit(train, features, label, m, cfg.seed)
-        s = ML.predict(model, test)
-        out.append(_metrics(s, label, m, entity))
+            # per-entity linear models from one statistics pass (+ CV)
+            penalty, spec = LINEAR_KINDS[m]
+            a = _alpha(cfg, spec)
+            fitted = LIN.fit_linear(train, features, label, entity, (a,), penalty=penalty)
+            out.append(_metrics(LIN.score(test, fitted, features, entity), label, m, entity))
+            cv = LIN.cross_validate(train, features, label, "fold", entity, (a,), cfg.folds, penalty)
+            cvs.append(cv.drop("alpha").withColumn("model", F.lit(m)))
+        else:
+            kind = "lasso" if m == "lasso_pooled" else m
+            model = ML.fit(train, features, label, kind, cfg.seed)
+            out.append(_metrics(ML.predict(model, test), label, m, entity))
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
-    if cv is not None:
+    if cvs:
+        cv = cvs[0]
+        for c in cvs[1:]:
+            cv = cv.unionByName(c)
         res = res.join(cv, [*entity, "model"], "left")
     else:
         res = res.withColumn("cv_mae", F.lit(None).cast("double")).withColumn("cv_std", F.lit(None).cast("double"))

@@ -1,5 +1,6 @@
 """Linear models per entity from sufficient statistics (M1 OLS, M2 ridge,
-M7 cross-validation, M9 grid search, M12/M18 scoring, M17 weighted fits).
+M3 lasso, M7 cross-validation, M9 grid search, M12/M18 scoring, M17
+weighted fits).
 
 Fitting is a partial aggregation, as Spark does for ``avg``:
 1. ``mapInPandas``: for each Arrow batch and key (entity, or entity and
@@ -15,7 +16,9 @@ same statistics.
 
 Ridge follows scikit-learn: minimise ||y - Xw - b||^2 + alpha ||w||^2 with
 an unpenalised intercept.  OLS (alpha = 0) uses the pseudo-inverse, i.e. the
-minimum-norm least-squares solution.
+minimum-norm least-squares solution.  Lasso minimises
+1/(2n) ||y - Xw - b||^2 + alpha ||w||_1 by coordinate descent on the same
+centred statistics (covariance form), so it needs no second scan either.
 """
 
 from __future__ import annotations
@@ -55,10 +58,44 @@ def _merge(parts: Sequence[np.ndarray], k: int) -> np.ndarray:
     return np.concatenate([[total, my, cyy], mx, cxy, cxx.ravel()])
 
 
-def _solve(stats: np.ndarray, k: int, alpha: float) -> tuple[float, np.ndarray]:
-    my, mx = stats[1], stats[3:3 + k]
+def _lasso_cd(cxx: np.ndarray, cxy: np.ndarray, n: float, alpha: float, max_iter: int = 1000,
+              tol: float = 1e-4) -> np.ndarray:
+    """Lasso by cyclic coordinate descent in covariance form.
+
+    Minimises 1/(2n) ||yc - Xc w||^2 + alpha ||w||_1 on centred data (the
+    scikit-learn objective with an intercept) using only Cxx = Xc'Xc and
+    Cxy = Xc'yc; stops when the largest coefficient step is below ``tol``
+    times the largest coefficient (scikit-learn's stopping rule).
+    """
+    k = len(cxy)
+    w = np.zeros(k)
+    grad = cxy.copy()                 # Cxy - Cxx w, kept up to date
+    thr = n * alpha
+    diag = np.diag(cxx)
+    for _ in range(max_iter):
+        max_step, max_w = 0.0, 0.0
+        for j in range(k):
+            if diag[j] <= 0:
+                continue
+            old = w[j]
+            rho = grad[j] + diag[j] * old
+            new = np.sign(rho) * max(abs(rho) - thr, 0.0) / diag[j]
+            if new != old:
+                grad -= cxx[:, j] * (new - old)
+                w[j] = new
+            max_step = max(max_step, abs(new - old))
+            max_w = max(max_w, abs(new))
+        if max_w == 0.0 or max_step / max_w < tol:
+            break
+    return w
+
+
+def _solve(stats: np.ndarray, k: int, alpha: float, penalty: str = "l2") -> tuple[float, np.ndarray]:
+    n, my, mx = stats[0], stats[1], stats[3:3 + k]
     cxy, cxx = stats[3 + k:3 + 2 * k], stats[3 + 2 * k:].reshape(k, k)
-    if alpha == 0:
+    if penalty == "l1" and alpha > 0:
+        w = _lasso_cd(cxx, cxy, n, alpha)
+    elif alpha == 0:
         w = np.linalg.pinv(cxx, rcond=1e-12) @ cxy
     else:
         w = np.linalg.solve(cxx + alpha * np.eye(k), cxy)
@@ -97,9 +134,9 @@ def _model_schema(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, entity: Sequence[str] = (),
-               alphas: Sequence[float] = (0.0,), weight: str | None = None) -> DataFrame:
-    """M1 (alpha 0) / M2 (alpha > 0) per entity:
-    ``(entity..., alpha, intercept, coef array)``."""
+               alphas: Sequence[float] = (0.0,), weight: str | None = None, penalty: str = "l2") -> DataFrame:
+    """M1 (alpha 0), M2 (ridge, ``penalty='l2'``) and M3 (lasso,
+    ``penalty='l1'``) per entity: ``(entity..., alpha, intercept, coef array)``."""
     k, entity = len(features), list(entity)
     parts = partial_stats(df, features, label, entity, weight)
     keyed = parts if entity else parts.withColumn("_one", F.lit(0))
@@ -110,7 +147,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, entity: Seque
         key = [pdf.iloc[0][c] for c in entity]
         rows = []
         for a in alphas:
-            b, w = _solve(merged, k, float(a))
+            b, w = _solve(merged, k, float(a), penalty)
             rows.append([*key, float(a), b, w.tolist()])
         return pd.DataFrame(rows, columns=[*entity, "alpha", "intercept", "coef"])
 
@@ -131,7 +168,8 @@ def score(df: DataFrame, model: DataFrame, features: Sequence[str], entity: Sequ
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold",
-                   entity: Sequence[str] = (), alphas: Sequence[float] = (0.0,), k: int = 5) -> DataFrame:
+                   entity: Sequence[str] = (), alphas: Sequence[float] = (0.0,), k: int = 5,
+                   penalty: str = "l2") -> DataFrame:
     """M7/M9: K-fold CV for every alpha from one statistics pass.
 
     Partial statistics per (entity, fold); per entity the model for held-out
@@ -155,7 +193,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
                 continue
             train = _merge(others, nf)
             for a in alphas:
-                b, w = _solve(train, nf, float(a))
+                b, w = _solve(train, nf, float(a), penalty)
                 rows.append([*key, f, float(a), b, w.tolist()])
         return pd.DataFrame(rows, columns=[*entity, fold, "alpha", "intercept", "coef"])
 

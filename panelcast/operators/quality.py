@@ -84,12 +84,12 @@ def feature_store_rules(df: DataFrame, time: str = "date", entity: Sequence[str]
 
 
 def monotonic_rule(df: DataFrame, time: str = "date", seq: str | None = None, entity: Sequence[str] = ()) -> DataFrame:
-    """Q1: ``time`` non-decreasing in arrival order ``seq`` (per entity) as a rule row."""
-    order = seq or time
-    w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(order)
-    bad = df.withColumn("_bad", F.col(time) < F.lag(time).over(w))
-    return evaluate(bad, [Rule("monotonic", F.coalesce(F.bool_and(~F.coalesce("_bad", F.lit(False))), F.lit(True)),
-                               F.count_if("_bad").cast("string"))])
+    """Q1: ``time`` non-decreasing in arrival order ``seq`` (per entity) as a
+    rule row; uses the distributed arrival-order check (W19)."""
+    from .split import series_checks
+    checks = series_checks(df, time, seq, entity)
+    bad = F.count_if(~F.col("monotonic"))
+    return evaluate(checks, [Rule("monotonic", bad == 0, bad.cast("string"))])
 
 
 def readiness(df: DataFrame, features: Sequence[str], null_warn_pct: float = 50.0) -> DataFrame:

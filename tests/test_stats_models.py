@@ -139,3 +139,24 @@ def test_monitoring_report_matches_pandas(spark):
     assert np.isclose(r.variance, np.var(m7[-10:], ddof=1))
     assert np.isclose(r.slope, np.polyfit(np.arange(10), m7[-10:], 1)[0])
     assert np.isclose(r.balance_index, ((pred > actual).sum() - (pred < actual).sum()) / 50)
+
+
+def test_lasso_kkt_conditions(spark):
+    rows = _panel(200, seed=5)
+    df = spark.createDataFrame(rows, "e string, date date, x1 double, x2 double, y double")
+    alpha = 0.5
+    got = {r.e: (r.intercept, r.coef) for r in LIN.fit_linear(df, ["x1", "x2"], "y", ["e"], (alpha,),
+                                                                penalty="l1").collect()}
+    for e in ("x", "y"):
+        X = np.array([[r[2], r[3]] for r in rows if r[0] == e])
+        y = np.array([r[4] for r in rows if r[0] == e])
+        n = len(y)
+        w = np.array(got[e][1])
+        xc, yc = X - X.mean(0), y - y.mean()
+        g = xc.T @ (yc - xc @ w) / n            # subgradient condition of the lasso objective
+        for j in range(2):
+            if w[j] != 0:
+                assert abs(g[j] - alpha * np.sign(w[j])) < 1e-3
+            else:
+                assert abs(g[j]) <= alpha + 1e-6
+        assert np.isclose(got[e][0], y.mean() - X.mean(0) @ w)
