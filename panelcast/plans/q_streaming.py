@@ -54,10 +54,12 @@ def _source(spark, delivered: tuple[str, int]):
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def state_partitions(delivered: tuple[str, int]) -> int:
-    """State-store partitions for the per-user state: a few per file of a
-    micro-batch (the state grows with the number of users, not rows)."""
-    return int(min(2000, max(4, 2 * delivered[1])))
+def state_partitions(spark, delivered: tuple[str, int]) -> int:
+    """State-store partitions for the per-user state: at least one per core
+    (the per-user step runs in Python workers) and a few per file of a
+    micro-batch; the state grows with the number of users, not rows."""
+    cores = spark.sparkContext.defaultParallelism
+    return int(min(2000, max(cores, 2 * delivered[1])))
 
 
 @register("t3_stream_features", ("T1", "T3", "W1", "W3", "W4"), f"""
@@ -75,7 +77,7 @@ def t3_stream_features(spark, sf_dir):
     src = _deliver(spark, sf_dir)
     out = scratch_path(spark, f"stream-t3-{uuid.uuid4().hex}")
     feats = stream_features(_source(spark, src), "user_id", "ts", "value")
-    run_available(feats, f"{out}/data", f"{out}/_checkpoint", state_partitions=state_partitions(src))
+    run_available(feats, f"{out}/data", f"{out}/_checkpoint", state_partitions=state_partitions(spark, src))
     res = spark.read.parquet(f"{out}/data")
     nudge = F.lit(1.000000000001)
     return res.select("user_id", "ts", *[F.round(F.col(c) * nudge, 4).alias(c) for c in
