@@ -36,14 +36,17 @@ def feature_schema(entity: str, time: str, value: str, lags: Sequence[int]) -> s
     return ", ".join(cols)
 
 
-def _features(history: list[float], x: float, lags: Sequence[int], roll: int, minp: int) -> list:
-    out = [history[-k] if len(history) >= k else None for k in lags]
-    window = (history + [x])[-roll:]
-    vals = [v for v in window if v is not None and not np.isnan(v)]
-    out.append(float(np.mean(vals)) if len(vals) >= minp else None)
-    prev = history[-1] if history else None
-    out.append(x / prev - 1.0 if prev not in (None, 0.0) and x is not None else None)
-    return out
+def _features(history: list[float], new: np.ndarray, lags: Sequence[int], roll: int, minp: int) -> np.ndarray:
+    """Features of the ``new`` values (in time order) appended to
+    ``history``: vectorised shifts / rolling mean over the joined series.
+    Returns an array (rows x (len(lags) + 2))."""
+    s = pd.Series(np.concatenate([np.asarray(history, dtype=float), new.astype(float)]))
+    prev = s.shift(1)
+    cols = [s.shift(k) for k in lags]
+    cols.append(s.rolling(roll, min_periods=minp).mean())
+    cols.append((s / prev.where(prev != 0) - 1.0))
+    out = pd.concat(cols, axis=1).to_numpy()
+    return out[len(history):]
 
 
 def stream_features(events: DataFrame, entity: str, time: str, value: str, lags: Sequence[int] = LAGS,
@@ -53,29 +56,33 @@ def stream_features(events: DataFrame, entity: str, time: str, value: str, lags:
     keep = max(context, roll, max(lags))
     schema = feature_schema(entity, time, value, lags)
 
+    feat_cols = [*[f"{value}_lag{k}" for k in lags], f"{value}_roll7_mean", f"{value}_pct_change"]
+
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        hist, last_ts = ([], None)
+        hist, last_ts = [], None
         if state.exists:
             vals, last_ts = state.get
-            hist = list(vals)
+            hist = [np.nan if v is None else v for v in vals]
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(time, kind="stable")
-        rows = []
-        for ts, x in zip(pdf[time], pdf[value]):
-            x = None if pd.isna(x) else float(x)
-            late = last_ts is not None and ts < last_ts
-            feats = _features(hist, x, lags, roll, min_periods)
-            rows.append([key[0], ts, x, *feats, late])
-            if not late:
-                hist = (hist + [x])[-keep:]
-                last_ts = ts
-        state.update((hist, last_ts))
-        cols = [entity, time, value, *[f"{value}_lag{k}" for k in lags], f"{value}_roll7_mean",
-                f"{value}_pct_change", "late"]
-        out = pd.DataFrame(rows, columns=cols)
-        num = cols[2:-1]
-        out[num] = out[num].astype("float64")   # NULL features as NaN, not object columns
-        out["late"] = out["late"].astype(bool)
-        yield out
+        late = (pdf[time] < last_ts).to_numpy() if last_ts is not None else np.zeros(len(pdf), bool)
+        on_time, behind = pdf[~late], pdf[late]
+        parts = []
+        if len(behind):
+            # a late row is scored against the stored history and does not
+            # enter the state (the late side table)
+            f = np.vstack([_features(hist, np.array([x]), lags, roll, min_periods)
+                           for x in behind[value].to_numpy(dtype=float)])
+            parts.append(behind.assign(**dict(zip(feat_cols, f.T)), late=True))
+        if len(on_time):
+            x = on_time[value].to_numpy(dtype=float)
+            f = _features(hist, x, lags, roll, min_periods)
+            parts.append(on_time.assign(**dict(zip(feat_cols, f.T)), late=False))
+            hist = (hist + list(x))[-keep:]
+            last_ts = on_time[time].iloc[-1]
+        state.update(([None if np.isnan(v) else float(v) for v in hist], last_ts))
+        out = pd.concat(parts, ignore_index=True)
+        out[entity] = key[0]
+        yield out[[entity, time, value, *feat_cols, "late"]]
 
     return (events.select(entity, time, value).groupBy(entity)
             .applyInPandasWithState(step, schema, "vals array<double>, last_ts timestamp_ntz", "append",
