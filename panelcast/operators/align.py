@@ -161,3 +161,56 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
     base = left.drop(*[v for v in value_cols if v in left.columns])
     out_cols = list(base.columns) + list(value_cols)
     return base.join(resolved, keys, "left").select(*out_cols)
+
+
+def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",)
+                      ) -> DataFrame:
+    """W6 for series too long for one task (one entity holding most rows, or
+    no entity at all): a two-phase forward fill.
+
+    1. sort by (entity, order) - range partitioning splits a long series
+       over many tasks - and checkpoint the layout;
+    2. fill inside each partition (``mapInPandas``, vectorised, carrying the
+       last value between Arrow batches; no second shuffle);
+    3. per (partition, entity) the last non-null value; a running "last
+       non-null" over that small table gives the value each partition
+       carries in from the partitions before it;
+    4. rows still NULL after step 2 take the carried value (a join on
+       partition and entity with a table of at most partitions + entities
+       rows).
+    ``order`` must be a total order within the entity.  Float NaN inputs are
+    treated as NULL.
+    """
+    import pandas as pd
+
+    cols, entity, order = list(cols), list(entity), list(order)
+    srt = df.orderBy(*entity, *order).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
+    schema = srt.schema
+
+    def local(batches):
+        last: dict = {c: {} for c in cols}
+        for pdf in batches:
+            keys = pd.Series(list(zip(*[pdf[e] for e in entity])), index=pdf.index) if entity else \
+                pd.Series([()] * len(pdf), index=pdf.index)
+            for c in cols:
+                filled = pdf.groupby(keys, sort=False)[c].ffill() if entity else pdf[c].ffill()
+                miss = filled.isna()
+                if miss.any():
+                    filled = filled.where(~miss, keys.map(last[c]))
+                pdf[c] = filled
+                last[c].update(pdf.assign(_k=keys).groupby("_k", sort=False)[c].last().dropna().to_dict())
+            yield pdf
+
+    filled = srt.mapInPandas(local, schema)
+    ordering = F.struct(*[F.col(o) for o in order])
+    seg = srt.groupBy("_pid", *entity).agg(*[
+        F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), ordering)).alias(f"_last_{c}")
+        for c in cols])
+    before = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    carry = seg.select("_pid", *entity, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
+                                          for c in cols])
+    carry = carry if entity else F.broadcast(carry)       # no entity: one row per partition
+    out = filled.join(carry, ["_pid", *entity], "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols})
+    return out.select(*df.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FeatureConfig, MonitorConfig
 from ..operators import features as FT
-from ..operators.align import asof_join, calendar, fill, series_window
+from ..operators.align import asof_join, calendar, ffill_distributed, fill, series_window
 from ..operators.dedupe import dedupe
 from ..operators.monitor import monitoring_report, moving_average_accuracy
 from ..operators.split import chronological_split, contiguous_folds, series_checks
@@ -80,6 +80,18 @@ def w6_w8_fills(spark, sf_dir):
     return round_doubles(out)
 
 
+@register("w6_ffill_long_series", ("W6",), f"""
+SELECT event_id, {R('last_value(CASE WHEN event_type = ' + "'purchase'" + ' THEN value END IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS last_purchase
+FROM events""")
+def w6_ffill_long_series(spark, sf_dir):
+    """The last purchase value as of every event - one series over the
+    whole table (no entity), filled with the two-phase distributed fill."""
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"))
+    out = ffill_distributed(ev, ["last_purchase"], (), ("ts", "event_id"))
+    return round_doubles(out.select("event_id", "last_purchase"))
+
+
 @register("w9_dedupe_keep_last", ("W9", "S10"), f"""
 SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, event_type, {R('value')} AS value
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""")

@@ -102,3 +102,23 @@ def test_split_and_folds(spark):
     assert pd.Series([r.fold for r in f]).value_counts().sort_index().tolist() == [3, 3, 3, 2, 2]
     s = chronological_split(_series(spark, [float(i) for i in range(10)]), 0.2, ["e"]).orderBy("date").collect()
     assert [r.split for r in s] == ["train"] * 8 + ["test"] * 2
+
+
+def test_ffill_distributed_matches_window(spark):
+    from panelcast.operators.align import ffill_distributed
+    rng = random.Random(11)
+    rows = []
+    for e, n in (("hot", 3000), ("b", 40), ("c", 25)):
+        for i in range(n):
+            v = rng.random() if rng.random() < 0.2 else None
+            rows.append((e, i, v))
+    rows.append(("d", 0, None))                      # an entity that never has a value
+    df = spark.createDataFrame(rows, "e string, t int, v double").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")   # carry across Arrow batches too
+    try:
+        got = {(r.e, r.t): r.v for r in ffill_distributed(df, ["v"], ["e"], ["t"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    exp = {(r.e, r.t): r.v for r in fill(df.withColumnRenamed("t", "date"), ["v"], ["e"], backward=False)
+           .withColumnRenamed("date", "t").collect()}
+    assert got == exp
