@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..config import FeatureConfig
 from .feature_store import business_day_store, full_outer_alignment, round_doubles
 from .registry import register
-from .series import all_series, btc_series, cpi_series, fx_series, gold_series, oil_series, set_series
+from .series import all_series, cpi_series, fx_series, gold_series, oil_series, set_series
 from .sqlgen import R, feature_store_sql
 
 PANEL = FeatureConfig(entity=("o_orderpriority",))
@@ -81,5 +81,3 @@ def c4_full_outer_alignment(spark, sf_dir):
               oil_series(spark, sf_dir), set_series(spark, sf_dir)]
     return round_doubles(full_outer_alignment(series, SINGLE, optional=("btc",)))
 
-
-_ = btc_series  # exported for callers building the optional series themselves

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import labels as L
 from ..functions import numbers as N
-from .feature_store import round_doubles
 from .registry import register
 from .series import gold_series, read_table
 from .sqlgen import R
@@ -211,5 +210,3 @@ def f30_tradeoff(spark, sf_dir):
     return j.select("event_type", F.round(score * F.lit(1.000000000001), 6).alias("tradeoff_score"),
                     L.tradeoff_class(score).alias("tradeoff_class"))
 
-
-_ = round_doubles
