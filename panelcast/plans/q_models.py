@@ -82,6 +82,53 @@ def m16_linear_attribution(spark, sf_dir):
     return glob.withColumn("mean_abs_shap", F.round(F.col("mean_abs_shap") * F.lit(1.000000000001), 2))
 
 
+@register("m13_ar1_forecast", ("M13", "M14", "W20", "F17", "F20", "K6"), f"""
+WITH RECURSIVE {_SINGLE[5:]},
+last AS (SELECT o_orderpriority, max(date) AS date, arg_max(gold, date) AS gold FROM gold GROUP BY 1),
+f(o_orderpriority, step, date, prev, pred) AS (
+  SELECT l.o_orderpriority, 1, CASE WHEN isodow(l.date) = 6 THEN l.date + 2 ELSE l.date + 1 END, l.gold,
+         c.intercept + c.slope * l.gold FROM last l JOIN c USING (o_orderpriority)
+  UNION ALL
+  SELECT f.o_orderpriority, f.step + 1, CASE WHEN isodow(f.date) = 6 THEN f.date + 2 ELSE f.date + 1 END, f.pred,
+         c.intercept + c.slope * f.pred FROM f JOIN c USING (o_orderpriority) WHERE f.step < 7)
+SELECT o_orderpriority, step, date, {R('pred', 2)} AS predicted_price, {R('pred - prev', 2)} AS change,
+  {R('(pred - prev) / prev * 100', 6)} AS change_pct FROM f""")
+def m13_ar1_forecast(spark, sf_dir):
+    """Seven open-day recursive forecast per priority with a one-feature
+    linear model (next-day price on today's price), Sunday closed."""
+    d = _gold_next(spark, sf_dir)
+    model = LIN.fit_linear(d, ["gold"], LABEL, E)
+    latest = FC.latest_rows(d, ["date", "gold"], E)
+    f = FC.recursive_forecast(latest, model, ["gold"], "gold", ForecastConfig(entity=E, horizon=7))
+    nudge = F.lit(1.000000000001)
+    return f.select(*E, "step", "date", F.round(F.col("predicted_price") * nudge, 2).alias("predicted_price"),
+                    F.round(F.col("change") * nudge, 2).alias("change"),
+                    F.round(F.col("change_pct") * nudge, 6).alias("change_pct"))
+
+
+@register("m7_cv_single_feature", ("M7", "W17", "W18"), f"""
+WITH {_SINGLE[5:].split(',\nc AS')[0]},
+d AS (SELECT * FROM n WHERE gold_next IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY o_orderpriority) AS cnt FROM d),
+tr AS (SELECT *, ntile(5) OVER (PARTITION BY o_orderpriority ORDER BY date) - 1 AS fold FROM s
+       WHERE rn <= cnt - ceil(0.2 * cnt)),
+folds AS (SELECT DISTINCT o_orderpriority, fold FROM tr),
+m AS (SELECT f.o_orderpriority, f.fold, regr_intercept(t.gold_next, t.gold) AS a, regr_slope(t.gold_next, t.gold) AS b
+      FROM folds f JOIN tr t ON t.o_orderpriority = f.o_orderpriority AND t.fold <> f.fold GROUP BY 1, 2),
+e AS (SELECT t.o_orderpriority, t.fold, avg(abs(t.gold_next - (m.a + m.b * t.gold))) AS mae
+      FROM tr t JOIN m USING (o_orderpriority, fold) GROUP BY 1, 2)
+SELECT o_orderpriority, {R('avg(mae)', 4)} AS cv_mae, {R('stddev_pop(mae)', 4)} AS cv_std FROM e GROUP BY 1""")
+def m7_cv_single_feature(spark, sf_dir):
+    """5-fold contiguous CV of the one-feature OLS on the chronological
+    train part, per priority (fold MAE mean and population std)."""
+    d = CMP.prepare(_gold_next(spark, sf_dir), ["gold"], LABEL, ModelConfig(), E)
+    cv = LIN.cross_validate(d.filter(F.col("split") == "train"), ["gold"], LABEL, "fold", E)
+    nudge = F.lit(1.000000000001)
+    return cv.select(*E, F.round(F.col("cv_mae") * nudge, 4).alias("cv_mae"),
+                     F.round(F.col("cv_std") * nudge, 4).alias("cv_std"))
+
+
 @register("m1_m2_linear_fit", ("M1", "M2", "P14", "P16", "J6"))
 def m1_m2_linear_fit(spark, sf_dir):
     """OLS and ridge (alpha 1) on the 25-feature store, per priority:
