@@ -110,3 +110,51 @@ def sequences(df: DataFrame, cols: Sequence[str], length: int = 60, label: str |
     seq = F.collect_list(F.array(*[F.col(c).cast("double") for c in cols])).over(frame)
     out = df.select(*entity, time, seq.alias("sequence"), F.col(label).cast("double").alias("label"))
     return out.filter(F.size("sequence") == length)
+
+
+def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
+                         lags: Sequence[int] = (1, 3), roll: int = 7, min_periods: int = 3,
+                         roll_name: str = "roll7_mean") -> DataFrame:
+    """W1 / W3 / W4 for series too long for one task (an entity holding most
+    rows, or no entity at all), exactly equal to the window version.
+
+    The data is sorted by (entity, order) - range partitioning splits a long
+    series - and checkpointed.  A partition only needs the last K rows before
+    it (K = largest lag or rolling span): those "halo" rows come from the
+    last K rows of each earlier (partition, entity), numbered by a running
+    count per entity; a halo row with number r belongs to the partitions
+    whose preceding count c satisfies c - K < r <= c, found with an
+    equi-join on (entity, r + j) for j < K - so every halo row lands in at
+    most K partitions.  Features are then computed per (partition, entity)
+    over halo + own rows, and halo rows are dropped.  ``order`` must be a
+    total order within the entity.
+    """
+    cols, entity, order = list(cols), list(entity), list(order)
+    k = max([*lags, roll - 1, 1])
+    srt = df.orderBy(*entity, *order).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
+    ent_w = Window.partitionBy(*entity) if entity else Window.partitionBy()
+    counts = srt.groupBy("_pid", *entity).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_c"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(
+        ent_w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    seg_w = Window.partitionBy("_pid", *entity)
+    tail = (srt.withColumn("_rd", F.row_number().over(seg_w.orderBy(*[F.col(o).desc() for o in order])))
+            .filter(F.col("_rd") <= k))
+    tail = tail.join(counts, ["_pid", *entity]).withColumn("_r", F.col("_before") + F.col("_c") - F.col("_rd") + 1)
+    cand = tail.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
+        "_key", F.col("_r") + F.col("_j"))
+    targets = counts.filter(F.col("_before") > 0).select(
+        F.col("_pid").alias("_target"), *entity, F.col("_before").alias("_key"))
+    halo = (cand.join(targets, [*entity, "_key"])
+            .filter(F.col("_r") > F.col("_key") - k)
+            .select(*df.columns, F.col("_target").alias("_pid"), F.lit(True).alias("_halo")))
+    rows = srt.withColumn("_halo", F.lit(False))
+    both = rows.unionByName(halo)
+    w = seg_w.orderBy(*order)
+    exprs = {}
+    for c in cols:
+        for lag in lags:
+            exprs[f"{c}_lag{lag}"] = F.lag(c, lag).over(w)
+        exprs[f"{c}_{roll_name}"] = rolling_mean_col(c, w, roll, min_periods)
+        exprs[f"{c}_pct_change"] = pct_change_col(c, w)
+    out = both.withColumns(exprs).filter(~F.col("_halo"))
+    return out.drop("_pid", "_halo")

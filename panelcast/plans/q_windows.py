@@ -92,6 +92,22 @@ def w6_ffill_long_series(spark, sf_dir):
     return round_doubles(out.select("event_id", "last_purchase"))
 
 
+@register("w1_w4_long_series", ("W1", "W3", "W4"), f"""
+SELECT event_id, {R('value')} AS value,
+  {R('lag(value, 1) OVER (ORDER BY ts, event_id)')} AS value_lag1,
+  {R('lag(value, 3) OVER (ORDER BY ts, event_id)')} AS value_lag3,
+  {R('CASE WHEN count(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) >= 3 THEN avg(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END')} AS value_roll7_mean,
+  {R('value / NULLIF(lag(value) OVER (ORDER BY ts, event_id), 0) - 1', 6)} AS value_pct_change
+FROM events""")
+def w1_w4_long_series(spark, sf_dir):
+    """Lags, rolling mean and change of one series spanning the whole events
+    table (no entity), computed with halo rows across range partitions."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    out = FT.features_distributed(ev, ["value"], (), ("ts", "event_id"))
+    out = out.withColumn("_pc", F.round(F.col("value_pct_change") * F.lit(1.000000000001), 6))
+    return round_doubles(out.drop("ts", "value_pct_change"), skip=["_pc"]).withColumnRenamed("_pc", "value_pct_change")
+
+
 @register("w9_dedupe_keep_last", ("W9", "S10"), f"""
 SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, event_type, {R('value')} AS value
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""")

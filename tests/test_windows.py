@@ -122,3 +122,27 @@ def test_ffill_distributed_matches_window(spark):
     exp = {(r.e, r.t): r.v for r in fill(df.withColumnRenamed("t", "date"), ["v"], ["e"], backward=False)
            .withColumnRenamed("date", "t").collect()}
     assert got == exp
+
+
+def test_features_distributed_matches_window(spark):
+    from panelcast.operators.features import features_distributed
+    rng = random.Random(5)
+    rows = []
+    for e, n in (("hot", 400), ("b", 23), ("c", 9), ("d", 1)):
+        for i in range(n):
+            rows.append((e, i, None if rng.random() < 0.15 else float(rng.randint(0, 5))))
+    df = spark.createDataFrame(rows, "e string, t int, v double")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")            # many partitions with < K rows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(features_distributed(df, ["v"], ["e"], ["t"]).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    cfg = FeatureConfig(entity=("e",), variables=("v",), target="none", time="t")
+    exp = sorted(add_features(df, cfg, ["v"], target_next=False).collect())
+    assert len(got) == len(exp) == len(rows)
+    for a, b in zip(got, exp):
+        assert a.asDict() == b.asDict()
