@@ -33,7 +33,11 @@ def global_index(df: DataFrame, order, group: Sequence[str] = (), col: str = "in
     gw = Window.partitionBy(*group) if group else Window.partitionBy()
     seg = seg.withColumn("_before", F.coalesce(
         F.sum("_c").over(gw.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = idx.join(F.broadcast(seg.select("_pid", *group, "_first", "_before")) if not group else
-                   seg.select("_pid", *group, "_first", "_before"), ["_pid", *group])
+    seg = seg.select("_pid", *group, "_first", "_before")
+    if group:
+        from .stats import _join_null_safe
+        out = _join_null_safe(idx, seg, ["_pid", *group])
+    else:   # one row per partition: a proven size bound
+        out = idx.join(F.broadcast(seg), ["_pid"])
     return out.withColumn(col, F.col("_before") + F.col("_mid") - F.col("_first")).drop(
         "_pid", "_mid", "_first", "_before")

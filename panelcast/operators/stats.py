@@ -186,7 +186,7 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group: Seq
     seg = seg.withColumn("_before", F.coalesce(
         F.sum("_c").over(gw.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).withColumn("_n", F.sum("_c").over(gw))
-    ranked = idx.join(seg, ["_pid", *group]).withColumn(
+    ranked = _join_null_safe(idx, seg, ["_pid", *group]).withColumn(
         "_r", F.col("_before") + F.col("_mid") - F.col("_first"))
     conds = []
     for p in ps:
@@ -206,6 +206,16 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group: Seq
     return picked.groupBy(*group).agg(*aggs)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equi-join on ``keys`` where NULL keys match (a NULL group is a group)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def measurement_summary(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
     """Mean, population std, p50/p95/p99 and count per group."""
     pct = exact_percentiles(df, value, (0.5, 0.95, 0.99), group)

@@ -160,3 +160,10 @@ def test_lasso_kkt_conditions(spark):
             else:
                 assert abs(g[j]) <= alpha + 1e-6
         assert np.isclose(got[e][0], y.mean() - X.mean(0) @ w)
+
+
+def test_exact_percentiles_null_group(spark):
+    rows = [(None, float(i)) for i in range(11)] + [("a", float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.p50 for r in S.exact_percentiles(df, "v", (0.5,), ["g"]).collect()}
+    assert got == {None: 5.0, "a": 2.0}
