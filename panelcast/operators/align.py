@@ -163,8 +163,8 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
     return base.join(resolved, keys, "left").select(*out_cols)
 
 
-def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",)
-                      ) -> DataFrame:
+def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
+                      backward: bool = False) -> DataFrame:
     """W6 for series too long for one task (one entity holding most rows, or
     no entity at all): a two-phase forward fill.
 
@@ -179,7 +179,9 @@ def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str]
        partition and entity with a table of at most partitions + entities
        rows).
     ``order`` must be a total order within the entity.  Float NaN inputs are
-    treated as NULL.
+    treated as NULL.  ``backward=True`` gives W7: rows still NULL after the
+    forward fill (an entity's leading rows) take the entity's first non-null
+    value, one ``min_by`` aggregate per entity joined back.
     """
     import pandas as pd
 
@@ -213,4 +215,13 @@ def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str]
     carry = carry if entity else F.broadcast(carry)       # no entity: one row per partition
     out = filled.join(carry, ["_pid", *entity], "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols})
+    if backward:
+        firsts = srt.groupBy(*entity).agg(*[
+            F.min_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), ordering)).alias(f"_first_{c}")
+            for c in cols])
+        if entity:
+            out = out.join(firsts, list(entity), "left")
+        else:   # one row: a proven size bound
+            out = out.withColumn("_one", F.lit(0)).join(F.broadcast(firsts.withColumn("_one", F.lit(0))), "_one")
+        out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_first_{c}")) for c in cols})
     return out.select(*df.columns)

@@ -92,6 +92,18 @@ def w6_ffill_long_series(spark, sf_dir):
     return round_doubles(out.select("event_id", "last_purchase"))
 
 
+@register("w7_fill_long_series", ("W7",), f"""
+SELECT event_id, {R("coalesce(last_value(CASE WHEN event_type = 'error' THEN value END IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(CASE WHEN event_type = 'error' THEN value END IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))")} AS error_value
+FROM events""")
+def w7_fill_long_series(spark, sf_dir):
+    """Forward then backward fill of the error events' value over the whole
+    events table as one series (two-phase distributed fill)."""
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.when(F.col("event_type") == "error", F.col("value")).alias("error_value"))
+    out = ffill_distributed(ev, ["error_value"], (), ("ts", "event_id"), backward=True)
+    return round_doubles(out.select("event_id", "error_value"))
+
+
 @register("w1_w4_long_series", ("W1", "W3", "W4"), f"""
 SELECT event_id, {R('value')} AS value,
   {R('lag(value, 1) OVER (ORDER BY ts, event_id)')} AS value_lag1,

@@ -122,6 +122,10 @@ def test_ffill_distributed_matches_window(spark):
     exp = {(r.e, r.t): r.v for r in fill(df.withColumnRenamed("t", "date"), ["v"], ["e"], backward=False)
            .withColumnRenamed("date", "t").collect()}
     assert got == exp
+    got_b = {(r.e, r.t): r.v for r in ffill_distributed(df, ["v"], ["e"], ["t"], backward=True).collect()}
+    exp_b = {(r.e, r.t): r.v for r in fill(df.withColumnRenamed("t", "date"), ["v"], ["e"], backward=True)
+             .withColumnRenamed("date", "t").collect()}
+    assert got_b == exp_b
 
 
 def test_features_distributed_matches_window(spark):
