@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..config import LAGS, ROLL_MIN_PERIODS, ROLL_WINDOW
@@ -51,14 +52,25 @@ def _features(history: list[float], new: np.ndarray, lags: Sequence[int], roll:
 
 def stream_features(events: DataFrame, entity: str, time: str, value: str, lags: Sequence[int] = LAGS,
                     roll: int = ROLL_WINDOW, min_periods: int = ROLL_MIN_PERIODS,
-                    context: int = CONTEXT_ROWS) -> DataFrame:
-    """T3 on a streaming (or batch) DataFrame of ``(entity, time, value)``."""
+                    context: int = CONTEXT_ROWS, idle_timeout: str | None = None,
+                    watermark: str = "1 day") -> DataFrame:
+    """T3 on a streaming DataFrame of ``(entity, time, value)``.
+
+    ``idle_timeout`` (e.g. ``"30 days"``) bounds the state to active
+    entities: the input gets ``withWatermark(time, watermark)`` and an
+    entity's state is dropped once the watermark passes its last tick plus
+    the timeout (a returning entity then starts without history).
+    """
     keep = max(context, roll, max(lags))
     schema = feature_schema(entity, time, value, lags)
+    idle_ms = _interval_ms(idle_timeout) if idle_timeout else None
 
     feat_cols = [*[f"{value}_lag{k}" for k in lags], f"{value}_roll7_mean", f"{value}_pct_change"]
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         hist, last_ts = [], None
         if state.exists:
             vals, last_ts = state.get
@@ -80,10 +92,25 @@ def stream_features(events: DataFrame, entity: str, time: str, value: str, lags:
             hist = (hist + list(x))[-keep:]
             last_ts = on_time[time].iloc[-1]
         state.update(([None if np.isnan(v) else float(v) for v in hist], last_ts))
+        if idle_ms is not None:
+            state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).value // 1_000_000) + idle_ms)
         out = pd.concat(parts, ignore_index=True)
         out[entity] = key[0]
         yield out[[entity, time, value, *feat_cols, "late"]]
 
-    return (events.select(entity, time, value).groupBy(entity)
-            .applyInPandasWithState(step, schema, "vals array<double>, last_ts timestamp_ntz", "append",
-                                    GroupStateTimeout.NoTimeout))
+    src = events.select(entity, time, value)
+    timeout = GroupStateTimeout.NoTimeout
+    if idle_ms is not None:
+        # watermarks need TIMESTAMP; the session zone is pinned to UTC, so
+        # the cast keeps the instant of a TIMESTAMP_NTZ tick time
+        src = src.withColumn("_event_time", F.col(time).cast("timestamp")).withWatermark("_event_time", watermark)
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return (src.groupBy(entity)
+            .applyInPandasWithState(step, schema, "vals array<double>, last_ts timestamp_ntz", "append", timeout))
+
+
+def _interval_ms(text: str) -> int:
+    """``"30 days"`` / ``"12 hours"`` / ``"90 minutes"`` -> milliseconds."""
+    n, unit = text.split()
+    scale = {"day": 86_400_000, "hour": 3_600_000, "minute": 60_000, "second": 1_000}[unit.rstrip("s")]
+    return int(float(n) * scale)

@@ -32,3 +32,19 @@ def test_late_tick_is_flagged_and_kept_out_of_state(spark):
     assert rows[5].value_lag1 == 40.0 and rows[5].value_lag3 == 10.0
     assert rows[5].value_pct_change == 50.0 / 40.0 - 1
     assert rows[2].value_lag1 == 10.0 and rows[2].value_roll7_mean is None   # fewer than 3 values
+
+
+def test_idle_state_expires(spark):
+    base = scratch_path(spark, f"test-stream-{uuid.uuid4().hex}")
+    t = lambda d: dt.datetime(2024, 1, d)
+    _write(spark, f"{base}/src", [(1, t(1), 10.0), (1, t(2), 20.0), (2, t(2), 5.0)])
+    _write(spark, f"{base}/src", [(2, t(10), 6.0)])     # moves the watermark past user 1's timeout
+    _write(spark, f"{base}/src", [(3, t(11), 7.0)])     # a batch without user 1: its state expires
+    _write(spark, f"{base}/src", [(1, t(12), 30.0)])    # user 1 returns without history
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    feats = stream_features(src, "user_id", "ts", "value", idle_timeout="2 days", watermark="0 seconds")
+    run_available(feats, f"{base}/out", f"{base}/ckpt", state_partitions=2)
+    rows = {(r.user_id, r.ts.day): r for r in spark.read.parquet(f"{base}/out").collect()}
+    assert rows[(1, 2)].value_lag1 == 10.0
+    assert rows[(2, 10)].value_lag1 == 5.0            # user 2 was active: history kept
+    assert rows[(1, 12)].value_lag1 is None           # user 1's idle state was dropped
