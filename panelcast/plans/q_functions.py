@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import labels as L
 from ..functions import numbers as N
+from .q_stats import PRED
 from .registry import register
 from .series import gold_series, read_table
 from .sqlgen import R
@@ -192,7 +193,7 @@ def f23_f25_dashboard_classes(spark, sf_dir):
 
 
 @register("f30_tradeoff", ("F30", "A13", "A15"), f"""
-WITH {__import__('panelcast.plans.q_stats', fromlist=['PRED']).PRED},
+WITH {PRED},
 acc AS (SELECT 100 - avg(abs((actual - predicted) / NULLIF(actual, 0))) * 100 AS accuracy_pct FROM p),
 lat AS (SELECT event_type, avg(value) AS mean_ms FROM events GROUP BY 1)
 SELECT event_type, {R('accuracy_pct / mean_ms', 6)} AS tradeoff_score,

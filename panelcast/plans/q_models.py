@@ -17,6 +17,7 @@ from ..models import compare as CMP
 from ..models import explain as EX
 from ..models import forecast as FC
 from ..models import linear as LIN
+from ..operators.align import series_window
 from ..operators.features import feature_columns
 from ..operators.stats import attach_stats
 from .feature_store import business_day_store
@@ -39,7 +40,6 @@ def panel_store(spark, sf_dir):
 
 def _gold_next(spark, sf_dir):
     g = gold_series(spark, sf_dir)
-    from ..operators.align import series_window
     return g.withColumn(LABEL, F.lead("gold").over(series_window(E)))
 
 
@@ -129,6 +129,37 @@ def m7_cv_single_feature(spark, sf_dir):
                      F.round(F.col("cv_std") * nudge, 4).alias("cv_std"))
 
 
+@register("m1_m3_closed_form_fits", ("M1", "M2", "M3"), f"""
+WITH {GOLD},
+n AS (SELECT o_orderpriority, gold AS x1, lag(gold) OVER w AS x2, lead(gold) OVER w AS y FROM gold
+      WINDOW w AS (PARTITION BY o_orderpriority ORDER BY date)),
+d AS (SELECT * FROM n WHERE x2 IS NOT NULL AND y IS NOT NULL),
+c AS (SELECT o_orderpriority, count(*) AS n, covar_pop(x1, x1) * count(*) AS s11, covar_pop(x2, x2) * count(*) AS s22,
+             covar_pop(x1, x2) * count(*) AS s12, covar_pop(x1, y) * count(*) AS s1y,
+             covar_pop(x2, y) * count(*) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM d GROUP BY 1),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c)
+SELECT o_orderpriority, {R('b1', 8)} AS ols_b1, {R('b2', 8)} AS ols_b2, {R('my - m1 * b1 - m2 * b2', 2)} AS ols_intercept,
+  {R('s1y / (s11 + 1.0)', 8)} AS ridge_b, {R('sign(s1y) * greatest(abs(s1y) - n * 0.1, 0) / s11', 8)} AS lasso_b
+FROM b""")
+def m1_m3_closed_form_fits(spark, sf_dir):
+    """Per priority, on rows with today's and yesterday's price and a next
+    day: two-feature OLS, one-feature ridge (alpha 1) and lasso (alpha 0.1),
+    all from the same partial statistics."""
+    w = series_window(E)
+    g = gold_series(spark, sf_dir)
+    d = g.select(*E, "date", "gold", F.lag("gold").over(w).alias("x2"), F.lead("gold").over(w).alias("y"))
+    d = d.filter(F.col("x2").isNotNull() & F.col("y").isNotNull()).cache()
+    ols = LIN.fit_linear(d, ["gold", "x2"], "y", E).select(
+        *E, F.col("coef")[0].alias("ols_b1"), F.col("coef")[1].alias("ols_b2"), F.col("intercept").alias("ols_intercept"))
+    ridge = LIN.fit_linear(d, ["gold"], "y", E, (1.0,)).select(*E, F.col("coef")[0].alias("ridge_b"))
+    lasso = LIN.fit_linear(d, ["gold"], "y", E, (0.1,), penalty="l1").select(*E, F.col("coef")[0].alias("lasso_b"))
+    out = ols.join(ridge, list(E)).join(lasso, list(E))
+    nudge = F.lit(1.000000000001)
+    return out.select(*E, *[F.round(F.col(c) * nudge, 8).alias(c) for c in ("ols_b1", "ols_b2", "ridge_b", "lasso_b")],
+                      F.round(F.col("ols_intercept") * nudge, 2).alias("ols_intercept"))
+
+
 @register("m1_m2_linear_fit", ("M1", "M2", "P14", "P16", "J6"))
 def m1_m2_linear_fit(spark, sf_dir):
     """OLS and ridge (alpha 1) on the 25-feature store, per priority:
