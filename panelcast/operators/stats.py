@@ -313,3 +313,13 @@ def uptime_pct(df: DataFrame, ts: str, healthy: Column, as_of, hours: int = 24)
     w = df.filter((F.col(ts) > start) & (F.col(ts) <= F.lit(as_of).cast("timestamp_ntz")))
     return w.agg(F.coalesce(F.avg(F.when(healthy, 1.0).otherwise(0.0)) * 100, F.lit(100.0)).alias("uptime_pct"),
                  F.count(F.lit(1)).alias("checks"))
+
+
+def seeded_hash(key, seed: int) -> Column:
+    """K8: a seeded multiplicative hash of an integer key in [0, 2^32) -
+    deterministic and partition-independent, so ``orderBy(hash).limit(n)``
+    is a reproducible sample of n rows (plain integer arithmetic, no
+    overflow for any BIGINT key)."""
+    m = 4294967296
+    k = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.pmod(k, F.lit(m)) * F.lit(40503) + F.lit(seed * 69069), F.lit(m))

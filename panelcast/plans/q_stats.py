@@ -362,12 +362,15 @@ def k6_latest_row(spark, sf_dir):
     return round_doubles(latest.select(*E, "r.date", "r.gold"))
 
 
-@register("k8_seeded_sample", ("K8",))
+@register("k8_seeded_sample", ("K8",), f"""
+SELECT o_orderkey, o_custkey, {R('o_totalprice', 2)} AS o_totalprice FROM orders
+ORDER BY ((o_orderkey % 4294967296) * 40503 + 42 * 69069) % 4294967296, o_orderkey LIMIT 50""")
 def k8_seeded_sample(spark, sf_dir):
-    """50 orders chosen by a seeded hash of the key: the same rows whatever
-    the partitioning (a top-k by hash, not a fraction sample)."""
-    o = read_table(spark, sf_dir, "orders")
-    return o.orderBy(F.xxhash64("o_orderkey", F.lit(42)), "o_orderkey").limit(50)
+    """50 orders chosen by a seeded multiplicative hash of the key: the same
+    rows whatever the partitioning (a top-k by hash, not a fraction sample)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    top = o.orderBy(S.seeded_hash("o_orderkey", 42), "o_orderkey").limit(50)
+    return round_doubles(top, 2)
 
 
 # ------------------------------------------------------------------ unions
