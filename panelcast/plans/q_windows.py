@@ -210,13 +210,30 @@ def q11_monitoring_report(spark, sf_dir):
     return round_doubles(rep, 6)
 
 
-@register("w15_sequences", ("W15",))
+@register("w15_sequences", ("W15",), f"""
+WITH {GOLD},
+f AS (SELECT o_orderpriority, date, gold, lead(gold) {W}) AS gold_next, lag(gold, 1) {W}) AS gold_lag1,
+        lag(gold, 3) {W}) AS gold_lag3,
+        CASE WHEN count(gold) {W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) >= 3
+             THEN avg(gold) {W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END AS gold_roll7_mean,
+        gold / NULLIF(lag(gold) {W}), 0) - 1 AS gold_pct_change FROM gold),
+c AS (SELECT * FROM f WHERE gold_next IS NOT NULL AND gold_lag1 IS NOT NULL AND gold_lag3 IS NOT NULL
+      AND gold_roll7_mean IS NOT NULL AND gold_pct_change IS NOT NULL),
+s AS (SELECT o_orderpriority, date,
+        list([{R('gold_lag1')}, {R('gold_lag3')}, {R('gold_roll7_mean')}, {R('gold')}])
+          {W} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS sequence,
+        {R('gold_next')} AS label FROM c)
+SELECT * FROM s WHERE len(sequence) = 60""")
 def w15_sequences(spark, sf_dir):
     """60-row samples of (gold, lags) per priority with the row's gold_next."""
     g = gold_series(spark, sf_dir)
     cfg = FeatureConfig(entity=E)
     f = FT.add_features(g, cfg, ["gold"]).dropna()
-    return FT.sequences(f, ["gold_lag1", "gold_lag3", "gold_roll7_mean", "gold"], 60, "gold_next", E)
+    seq = FT.sequences(f, ["gold_lag1", "gold_lag3", "gold_roll7_mean", "gold"], 60, "gold_next", E)
+    nudge = F.lit(1.000000000001)
+    return seq.select(*E, "date",
+                      F.transform("sequence", lambda r: F.transform(r, lambda v: F.round(v * nudge, 4))).alias("sequence"),
+                      F.round(F.col("label") * nudge, 4).alias("label"))
 
 
 @register("w16_minmax_scale", ("W16",), f"""
