@@ -216,9 +216,27 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
 
 
-def measurement_summary(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
-    """Mean, population std, p50/p95/p99 and count per group."""
-    pct = exact_percentiles(df, value, (0.5, 0.95, 0.99), group)
+def approx_percentiles(df: DataFrame, value: str, ps: Sequence[float], group: Sequence[str] = (),
+                       names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+    """Percentiles from a mergeable sketch (``percentile_approx``): one
+    partial-aggregated pass, bounded memory per group, rank error about
+    1/``accuracy`` of the group size.  The at-scale alternative to
+    ``exact_percentiles`` when an exact order statistic is not required."""
+    names = list(names) if names else [f"p{int(round(p * 100))}" for p in ps]
+    arr = F.percentile_approx(F.col(value).cast("double"), list(ps), accuracy).alias("_p")
+    out = df.groupBy(*group).agg(arr)
+    return out.select(*group, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _percentiles(df, value, ps, group, names=None, exact=True):
+    return (exact_percentiles(df, value, ps, group, names) if exact
+            else approx_percentiles(df, value, ps, group, names))
+
+
+def measurement_summary(df: DataFrame, value: str, group: Sequence[str] = (), exact: bool = True) -> DataFrame:
+    """Mean, population std, p50/p95/p99 and count per group
+    (``exact=False``: sketch percentiles, no sort)."""
+    pct = _percentiles(df, value, (0.5, 0.95, 0.99), group, exact=exact)
     base = df.groupBy(*group).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
                                   F.count(value).alias("n"))
     return attach_stats(base, pct, group)
@@ -256,7 +274,7 @@ def balance_index(df: DataFrame, actual: str = "actual", predicted: str = "predi
 # --------------------------------------------------------------- outliers
 
 def outlier_flags(df: DataFrame, value: str, entity: Sequence[str] = (), method: str = "iqr",
-                  threshold: float = 3.0, min_support: int = 10) -> DataFrame:
+                  threshold: float = 3.0, min_support: int = 10, exact: bool = True) -> DataFrame:
     """A16 (IQR) / A17 (z-score, sample std) outlier flag with the A18 guard:
     groups with ``min_support`` or fewer non-null values are not tested.
 
@@ -265,7 +283,7 @@ def outlier_flags(df: DataFrame, value: str, entity: Sequence[str] = (), method:
     outliers.
     """
     if method == "iqr":
-        q = exact_percentiles(df, value, (0.25, 0.75), entity, names=("_q1", "_q3"))
+        q = _percentiles(df, value, (0.25, 0.75), entity, names=("_q1", "_q3"), exact=exact)
         cnt = df.groupBy(*entity).agg(F.count(value).alias("_cnt"))
         stats = attach_stats(cnt, q, entity)
         iqr = F.col("_q3") - F.col("_q1")

@@ -167,3 +167,15 @@ def test_exact_percentiles_null_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: r.p50 for r in S.exact_percentiles(df, "v", (0.5,), ["g"]).collect()}
     assert got == {None: 5.0, "a": 2.0}
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    rng = random.Random(3)
+    rows = [("g", rng.gauss(0, 1)) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    approx = S.measurement_summary(df, "v", ["g"], exact=False).first()
+    vals = np.sort([v for _, v in rows])
+    for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        # rank error of the sketch is about n / accuracy
+        lo, hi = vals[max(0, int(p * 5000) - 2)], vals[min(4999, int(p * 5000) + 2)]
+        assert lo <= approx[name] <= hi
