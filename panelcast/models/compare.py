@@ -51,16 +51,18 @@ def train_compare(df: DataFrame, features: Sequence[str], label: str, models: Se
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     out, cvs = [], []
+    specs = {m: (LINEAR_KINDS[m][0], _alpha(cfg, LINEAR_KINDS[m][1])) for m in models if m in LINEAR_KINDS}
+    if specs:
+        # all per-entity linear models from one statistics pass, one
+        # scoring join, and one CV pass
+        fitted = LIN.fit_models(train, features, label, entity, specs)
+        scored = test.join(fitted, list(entity)) if entity else _attach_all(test, fitted)
+        scored = scored.withColumn("prediction", LIN.predict_expr(features)).drop("intercept", "coef")
+        m = regression_metrics(scored.withColumnRenamed(label, "actual"), "actual", "prediction", [*entity, "model"])
+        out.append(m)
+        cvs.append(LIN.cross_validate_models(train, features, label, "fold", entity, specs))
     for m in models:
-        if m in LINEAR_KINDS:
-            # per-entity linear models from one statistics pass (+ CV)
-            penalty, spec = LINEAR_KINDS[m]
-            a = _alpha(cfg, spec)
-            fitted = LIN.fit_linear(train, features, label, entity, (a,), penalty=penalty)
-            out.append(_metrics(LIN.score(test, fitted, features, entity), label, m, entity))
-            cv = LIN.cross_validate(train, features, label, "fold", entity, (a,), cfg.folds, penalty)
-            cvs.append(cv.drop("alpha").withColumn("model", F.lit(m)))
-        else:
+        if m not in LINEAR_KINDS:
             kind = "lasso" if m == "lasso_pooled" else m
             model = ML.fit(train, features, label, kind, cfg.seed)
             out.append(_metrics(ML.predict(model, test), label, m, entity))
@@ -78,6 +80,12 @@ def train_compare(df: DataFrame, features: Sequence[str], label: str, models: Se
     return res.select(*entity, *METRIC_COLS).withColumn("rank", F.row_number().over(w))
 
 
+def _attach_all(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """No entity: every row meets every model; the model table has one row
+    per model (a proven bound), so it is broadcast on a constant key."""
+    return rows.withColumn("_one", F.lit(0)).join(F.broadcast(models.withColumn("_one", F.lit(0))), "_one").drop("_one")
+
+
 def best_models(comparison: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
     """M8: the argmin-MAE model per entity (``min_by``)."""
     return comparison.groupBy(*entity).agg(F.min_by("model", F.struct("mae", "model")).alias("best_model"),

@@ -202,3 +202,62 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
     err = F.abs(F.col(label) - predict_expr(features))
     fold_mae = scored.groupBy(*entity, "alpha", fold).agg(F.avg(err).alias("mae"))
     return fold_mae.groupBy(*entity, "alpha").agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
+
+
+def _specs_schema(df: DataFrame, keys: Sequence[str]) -> str:
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join([f"`{c}` {types[c]}" for c in keys] +
+                     ["model string", "intercept double", "coef array<double>"])
+
+
+def fit_models(df: DataFrame, features: Sequence[str], label: str, entity: Sequence[str] = (),
+               specs: dict[str, tuple[str, float]] | None = None) -> DataFrame:
+    """Several linear models from ONE statistics pass:
+    ``specs = {name: (penalty, alpha)}`` -> ``(entity..., model, intercept, coef)``."""
+    specs = specs or {"linear": ("l2", 0.0)}
+    k, entity = len(features), list(entity)
+    parts = partial_stats(df, features, label, entity)
+    keyed = parts if entity else parts.withColumn("_one", F.lit(0))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        merged = _merge([np.asarray(s) for s in pdf["stats"]], k)
+        key = [pdf.iloc[0][c] for c in entity]
+        rows = []
+        for name, (penalty, a) in specs.items():
+            b, w = _solve(merged, k, float(a), penalty)
+            rows.append([*key, name, b, w.tolist()])
+        return pd.DataFrame(rows, columns=[*entity, "model", "intercept", "coef"])
+
+    return keyed.groupBy(*(entity or ["_one"])).applyInPandas(fit, _specs_schema(parts, entity))
+
+
+def cross_validate_models(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold",
+                          entity: Sequence[str] = (), specs: dict[str, tuple[str, float]] | None = None
+                          ) -> DataFrame:
+    """K-fold CV of several linear models from ONE statistics pass and ONE
+    scoring pass: ``(entity..., model, cv_mae, cv_std)``."""
+    specs = specs or {"linear": ("l2", 0.0)}
+    nf, entity = len(features), list(entity)
+    d = df.dropna(subset=[*features, label, fold])
+    parts = partial_stats(d, features, label, [*entity, fold])
+    keyed = parts if entity else parts.withColumn("_one", F.lit(0))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = [pdf.iloc[0][c] for c in entity]
+        by_fold = {f: _merge([np.asarray(s) for s in g["stats"]], nf) for f, g in pdf.groupby(fold)}
+        rows = []
+        for f in by_fold:
+            others = [s for g, s in by_fold.items() if g != f]
+            if not others:
+                continue
+            train = _merge(others, nf)
+            for name, (penalty, a) in specs.items():
+                b, w = _solve(train, nf, float(a), penalty)
+                rows.append([*key, f, name, b, w.tolist()])
+        return pd.DataFrame(rows, columns=[*entity, fold, "model", "intercept", "coef"])
+
+    models = keyed.groupBy(*(entity or ["_one"])).applyInPandas(fit, _specs_schema(parts, [*entity, fold]))
+    scored = d.join(models, [*entity, fold])
+    err = F.abs(F.col(label) - predict_expr(features))
+    fold_mae = scored.groupBy(*entity, "model", fold).agg(F.avg(err).alias("mae"))
+    return fold_mae.groupBy(*entity, "model").agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
