@@ -150,3 +150,16 @@ def test_features_distributed_matches_window(spark):
     assert len(got) == len(exp) == len(rows)
     for a, b in zip(got, exp):
         assert a.asDict() == b.asDict()
+
+
+def test_asof_join_per_entity_and_entity_calendar(spark):
+    left = spark.createDataFrame([("a", 1, dt.date(2024, 1, 3)), ("a", 2, dt.date(2024, 1, 3)),
+                                  ("b", 3, dt.date(2024, 1, 3)), ("b", 4, dt.date(2024, 1, 1))],
+                                 "e string, id int, date date")
+    right = spark.createDataFrame([("a", dt.date(2024, 1, 2), 20.0), ("b", dt.date(2024, 1, 3), 30.0),
+                                   ("a", dt.date(2024, 1, 4), 40.0)], "e string, date date, v double")
+    got = {r.id: r.v for r in asof_join(left, right, ["v"], ["e"]).collect()}
+    assert got == {1: 20.0, 2: 20.0, 3: 30.0, 4: None}
+    ents = spark.createDataFrame([("a",), ("b",)], "e string")
+    cal = calendar(spark, "2025-11-21", "2025-11-24", None, entities=ents)
+    assert sorted((r.e, r.date.day) for r in cal.collect()) == [(e, d) for e in "ab" for d in (21, 22, 23, 24)]
