@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, packing, pii, quality, warc
+from . import bpe, fingerprints, language_id, packing, pii, quality, repeats, warc
 from .common import read_table
 
 QUERIES: dict = {}
@@ -58,3 +58,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(read_table(spark, sf_dir, "documents"))
