@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, packing, pii, quality, repeats, warc
+from . import bpe, fingerprints, language_id, near_dup, packing, pii, quality, repeats, warc
 from .common import read_table
 
 QUERIES: dict = {}
@@ -63,3 +63,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=near_dup.WORDS)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
