@@ -28,6 +28,7 @@ PERCENT = 80             # 100 * intersection >= PERCENT * union
 PERMUTATIONS = 64        # two signature values each
 ROWS = 4                 # values in a band: 32 bands miss a pair of similarity 0.8 once in 20 million
 CENTER_ROWS = 2000       # sets compared with one center in one group
+BLOCK = 1000             # members of a bucket that are compared with as many others in one group
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _rng = np.random.default_rng(8)
@@ -175,6 +176,102 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, col: str, name: str) ->
     return rows.join(own, col, "left").withColumn(name, F.coalesce("_label", col)).drop("_label")
 
 
+def _rest(members: DataFrame, labels: DataFrame, d: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components that still share a bucket; of the
+    links that join the same components not all are returned.
+
+    Shingles that no other document here has can't be common: a document with
+    too many of them has no link, and the others are compared without them.
+    A bucket's members are compared in blocks inside the tasks, so pairs never
+    become rows."""
+    def mixed(rows: DataFrame) -> DataFrame:
+        sizes = rows.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
+        return rows.join(sizes.where("lo <> hi").select("band", F.ceil(F.col("c") / BLOCK).cast("int").alias("k")), "band")
+
+    rows = durable(mixed(_labelled(members, labels, "id", "label")), "near-rest")
+    ids = rows.select(F.col("id").alias("rid")).distinct()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("data")]
+            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([len(x) for x in s], pa.int64()),
+                                              pa.array(s, pa.list_(pa.int64()))], names=["id", "n", "all"])
+
+    own = durable(sets.join(ids, "rid", "left_semi").mapInArrow(unpack, "id long, n long, all array<long>"), "near-own")
+    single = own.select("id", F.explode("all").alias("h"))
+    common = single.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h")
+    shared = (single.join(common, "h").groupBy("id").agg(F.sort_array(F.collect_list("h")).alias("shared"))
+              .join(own.select("id", "n"), "id").where(100 * F.size("shared") >= percent * F.col("n")))
+    shared = durable(shared.join(d.select(F.col("rid").alias("id"), "bands"), "id"), "near-shared")
+    rows = mixed(rows.drop("k").join(shared.select("id"), "id", "left_semi"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k").cast("long")).cast("int"))
+    # Block x meets blocks x, ..., k-1 as the first and 0, ..., x-1 as the second of a pair of blocks.
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).alias("second"), "id", "label")
+    rows = rows.join(shared, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "second", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, key = [], None
+        for b in batches:
+            links = []
+            for r in b.to_pylist():
+                k = (r["band"], r["i"], r["j"])
+                if k != key:
+                    links += _compare(group, key, percent)
+                    group, key = [], k
+                group.append((r["second"], r["id"], r["label"], r["n"], np.array(r["shared"], np.int64),
+                              np.array(r["bands"], np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        links = _compare(group, key, percent)
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _compare(group: list[tuple], key: tuple | None, percent: int) -> list[tuple[int, int]]:
+    """Links between members of two blocks (or of one) in different components,
+    one for each two components that they join."""
+    if not group:
+        return []
+    one_block = key[1] == key[2]
+    second, ids = np.array([g[0] for g in group]), np.array([g[1] for g in group])
+    n = np.array([g[3] for g in group])
+    size = np.array([len(g[4]) for g in group])
+    bands = np.stack([g[5] for g in group])
+    _, label = np.unique([g[2] for g in group], return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(size)])
+    tokens = np.concatenate([g[4] for g in group])
+    links = []
+    for x in range(len(group)) if one_block else np.flatnonzero(~second).tolist():
+        others = np.arange(x + 1, len(group)) if one_block else np.flatnonzero(second)
+        most = np.minimum(size[x], size[others])
+        ok = (label[others] != label[x]) & (100 * most >= percent * (n[x] + n[others] - most))
+        others = others[ok]
+        if len(others):
+            # A pair is compared in the first of its common bands.
+            equal = bands[others] == bands[x]
+            others = others[bands[x][equal.argmax(1)] == key[0]]
+        if not len(others):
+            continue
+        # One other member of a component at first: most often it is linked, and the rest need no look.
+        _, first = np.unique(label[others], return_index=True)
+        for part in (others[first], np.delete(others, first)):
+            part = part[label[part] != label[x]]
+            if not len(part):
+                continue
+            start = np.concatenate([[0], np.cumsum(size[part])])
+            every = tokens[np.repeat(at[part] - start[:-1], size[part]) + np.arange(start[-1])]
+            own = group[x][4]
+            hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            common = np.add.reduceat(hit.astype(np.int64), start[:-1])
+            for y in part[100 * common >= percent * (n[x] + n[part] - common)].tolist():
+                if label[y] != label[x]:
+                    links.append((int(ids[x]), int(ids[y])))
+                    label[label == label[y]] = label[x]
+    return links
+
+
 def near_duplicates(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int = PERCENT,
                     permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
     """(rid, doc_id, n_shingles, component_id, kept, first) of each row.
@@ -206,13 +303,7 @@ def near_duplicates(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int =
     links = links.unionByName(durable(confirm(left.where("x <> y").select("a", "b"), sets, percent), "near-found"))
     labels = durable(components(links), "near-labels")
     # ... then with all others of its buckets in other components.
-    rest = _labelled(members.select("band", "id"), labels, "id", "x")
-    mixed = rest.groupBy("band").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo <> hi").select("band")
-    rest = durable(rest.join(mixed, "band"), "near-rest")
-    other = rest.select("band", F.col("id").alias("b"), F.col("x").alias("y"))
-    pairs = (rest.withColumnRenamed("id", "a").join(other, "band").where("a < b AND x <> y").select("a", "b").distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    more = durable(confirm(pairs, sets, percent), "near-found")
+    more = durable(_rest(members.select("band", "id"), labels, d, sets, percent), "near-found")
     labels = durable(components(links.unionByName(more)), "near-labels")
 
     named = _labelled(classes, labels, "node", "label")

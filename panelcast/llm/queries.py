@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, near_dup, packing, pii, quality, repeats, warc
+from . import bpe, fingerprints, language_id, lm, near_dup, packing, pii, quality, repeats, warc
 from .common import read_table
 
 QUERIES: dict = {}
@@ -69,3 +69,12 @@ def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=near_dup.WORDS)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    out = lm.score(docs.select("doc_id", "text", (~held_out).alias("train")))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
