@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,19 +31,51 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_owned: list[str] | None = None
+
+
+@contextmanager
+def scratch_owner(paths: list[str]):
+    """Tables that ``durable`` writes meanwhile are entered in ``paths``, for
+    ``release`` once what was made from them is written."""
+    global _owned
+    before, _owned = _owned, paths
+    try:
+        yield
+    finally:
+        _owned = before
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch tables, in whatever store they lie."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the cluster's shared folder and read back:
     later stages no longer depend on shuffle files of lost executors, and
     values that depend on partition order stay as they were written."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
+    if _owned is not None:
+        _owned.append(path)
+    # Rows can hold whole texts or packed blocks, so row groups are kept small.
+    df.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(col):
-    """Lower-case A-Z only."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def bundled(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with all columns but ``own`` in one struct _rest, so that their
+    names can't clash with an operator's."""
+    rest = [c for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*rest).alias("_rest")) if rest else docs.select(*own)
+
+
+def unbundled(df: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    return df.select(*[F.col(c) if c in own else F.col("_rest")[c].alias(c) for c in columns])
 
 
 def map_rows(df: DataFrame, schema: StructType | str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:

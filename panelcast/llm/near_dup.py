@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import durable
+from .common import bundled, durable, unbundled
 
 WORDS = 2                # words of a shingle in op8's contract; the library's default is DEFAULT_WORDS
 DEFAULT_WORDS = 5
@@ -83,8 +84,6 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, words: int, permutations: int, rows: int) -> DataFrame:
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, f1, f2, bands = [], [], [], []
@@ -99,8 +98,10 @@ def _sketch(docs: DataFrame, words: int, permutations: int, rows: int) -> DataFr
                 [*b.columns, pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64()))], names=[*b.schema.names, "n_shingles", "f1", "f2", "bands"])
 
-    d = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    return d.mapInArrow(run, f"rid long, doc_id {kind}, text string, n_shingles long, f1 long, f2 long, bands array<long>")
+    d = docs.select(F.monotonically_increasing_id().alias("rid"), "*")
+    schema = StructType([*d.schema.fields, *(StructField(c, LongType()) for c in ("n_shingles", "f1", "f2")),
+                         StructField("bands", ArrayType(LongType()))])
+    return d.mapInArrow(run, schema)
 
 
 def _sets(d: DataFrame, words: int) -> DataFrame:
@@ -280,6 +281,12 @@ def near_duplicates(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int =
     than any), kept whether that is the row's own; ``first`` marks one row of
     each component, also among repeated rows.  Null texts and texts without
     words have empty sets and are linked with nothing."""
+    return _search(docs.select("doc_id", "text"), words, percent, permutations, rows)[1]
+
+
+def _search(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int = PERCENT, permutations: int = PERMUTATIONS,
+            rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with their rid, and the result by rid."""
     d = durable(_sketch(docs, words, permutations, rows), "near-docs")
     some = d.where("n_shingles > 0")
     same = ["f1", "f2", "n_shingles"]
@@ -311,15 +318,14 @@ def near_duplicates(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int =
     named = named.join(lows, "label").select(*same, F.col("low.doc_id").alias("component_id"), F.col("low.rid").alias("low"))
     out = d.select("rid", "doc_id", *same).join(named, same, "left")
     empty = F.col("n_shingles") == 0
-    return out.select("rid", "doc_id", "n_shingles",
-                      F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      (empty | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
-                      (empty | (F.col("rid") == F.col("low"))).alias("first"))
+    return d, out.select(
+        "rid", "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (empty | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        (empty | (F.col("rid") == F.col("low"))).alias("first"))
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near duplicates."""
-    d = durable(docs.withColumn("_row", F.monotonically_increasing_id()), "near-input")
-    own = d.select(F.col("_row").alias("doc_id"), "text")
-    keep = near_duplicates(own, **options).where("first").select(F.col("doc_id").alias("_row"))
-    return d.join(keep, "_row", "left_semi").select(*docs.columns)
+    d, found = _search(bundled(docs, "doc_id", "text"), **options)
+    kept = d.join(found.where("first").select("rid"), "rid", "left_semi")
+    return unbundled(kept, docs.columns, "doc_id", "text")

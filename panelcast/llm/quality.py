@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, durable
+from .common import SPACE, WORD, bundled, durable, unbundled
 
 MIN_DOCS = 20            # a line is boilerplate in more distinct documents of a host than this ...
 MIN_SHARE = 0.01         # ... and than this share of the host's distinct documents
@@ -71,20 +71,9 @@ def base_stats(docs: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
-                   keep_share: float = KEEP_SHARE, clean: bool = False) -> DataFrame:
-    """The base columns, n_removed_chars and ``kept`` of each row of ``docs``
-    (doc_id, text and the host column are used).
-
-    Documents of equal text count once for a host; a null host is one host; a
-    null text has no lines.  A line is removed when more than
-    ``max(min_docs, min_share * documents of the host)`` distinct documents of
-    the host have it.  ``kept`` is false if the base rules fail or lines with
-    less than ``keep_share`` of the characters remain.  Repeated rows give
-    repeated rows.  With ``clean`` all columns of ``docs`` are returned too,
-    the text without the removed lines."""
-    extra = [c for c in docs.columns if c not in ("doc_id", "text")] if clean else []
-    d = docs.select("doc_id", "text", *extra, F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("_host"))
+def _judged(docs: DataFrame, host: str, min_docs: int, min_share: float, keep_share: float, clean: bool) -> DataFrame:
+    own = F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("_host")
+    d = (bundled(docs.select("*", own), "doc_id", "text", "_host") if clean else docs.select("doc_id", "text", own))
     d = base_stats(d)
     d = d.withColumn("_lines", F.transform("_l", lambda x: F.struct(
         _line_hash(x).alias("h"), F.length(x).alias("n")))).drop("_l")
@@ -103,12 +92,31 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
             .agg(F.sum("n").alias("_gone"), *([F.collect_set("h").alias("_bad")] if clean else [])))
     total = F.aggregate("_lines", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
     out = d.join(gone, "_rid", "left").withColumn("n_removed_chars", F.coalesce("_gone", F.lit(0)).cast("long"))
-    out = out.withColumn("kept", ~F.col("base_failed") & (total - F.col("n_removed_chars") >= keep_share * total))
-    stats = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-             "n_removed_chars"]
-    if not clean:
-        return out.select("doc_id", *stats)
+    return out.withColumn("kept", ~F.col("base_failed") & (total - F.col("n_removed_chars") >= keep_share * total))
+
+
+def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+                   keep_share: float = KEEP_SHARE) -> DataFrame:
+    """doc_id, the base columns, ``kept`` and n_removed_chars of each row of
+    ``docs`` (doc_id, text and the host column are used).
+
+    Documents of equal text count once for a host; a null host is one host; a
+    null text has no lines.  A line is removed when more than
+    ``max(min_docs, min_share * documents of the host)`` distinct documents of
+    the host have it.  ``kept`` is false if the base rules fail or lines with
+    less than ``keep_share`` of the characters remain.  Repeated rows give
+    repeated rows."""
+    return _judged(docs, host, min_docs, min_share, keep_share, False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_removed_chars")
+
+
+def clean(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+          keep_share: float = KEEP_SHARE) -> DataFrame:
+    """The rows of ``docs`` that ``line_frequency`` keeps, the lines that it
+    removes cut from the text."""
+    out = _judged(docs, host, min_docs, min_share, keep_share, True).where("kept")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_bad", _line_hash(x))
                                  | ~x.rlike(WORD)), "\n")
     out = out.withColumn("text", F.when(F.col("_gone") > 0, left).otherwise(F.col("text")))
-    return out.select(*docs.columns, *[c for c in stats if c not in docs.columns])
+    return unbundled(out, docs.columns, "doc_id", "text")

@@ -92,7 +92,8 @@ def test_quality_boilerplate_by_host(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r.doc_id: r.kept for r in quality.line_frequency(docs).collect()}
     assert [i for i in kept if not kept[i]] == list(range(30)) or sorted(i for i in kept if not kept[i]) == list(range(30))
-    clean = {r.doc_id: r.text for r in quality.line_frequency(docs, clean=True).collect()}
+    clean = {r.doc_id: r.text for r in quality.clean(docs).collect()}
+    assert not set(range(30)) & set(clean) and quality.clean(edge.documents(spark)).columns == edge.documents(spark).columns
     assert clean[100] == rows[30][1].split("\n")[1] and clean[200] == rows[35][1] and clean[300] == copy
 
 
