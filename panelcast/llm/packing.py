@@ -13,6 +13,7 @@ Only the histogram (one row per length) reaches the driver.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +33,10 @@ CACHE_ENTRIES = 500_000
 _PID = 33                # monotonically_increasing_id: partition above, row below this bit
 
 
+# Letters whose lower case is one letter in any Unicode version, then a mark.
+_PLAIN = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xDE\xDF-\xF6\xF8-\xFF]+)([.,;:!?]?)")
+
+
 class _Words(dict):
     """Piece of text without blank or line feed -> its ids, packed."""
 
@@ -43,8 +48,12 @@ class _Words(dict):
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        packed = np.array(ids, self.dtype).tobytes()
+        m = _PLAIN.fullmatch(piece)
+        if m and (m.group(2) or not piece.islower()):
+            # The vocabulary has lower case only, and its words end before punctuation.
+            packed = self[m.group(1).lower()] + (self[m.group(2)] if m.group(2) else b"")
+        else:
+            packed = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
         if len(piece) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
