@@ -80,11 +80,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         enc = self.encoder
-        found = enc.find(" " + piece)
-        if len(found) == 1:
-            packed = array("I", enc.merge(found[0].encode())).tobytes()
-        else:
-            packed = b"".join(map(enc.__getitem__, found))
+        packed = b"".join(map(enc.__getitem__, enc.find(" " + piece)))
         if len(piece) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
