@@ -81,8 +81,8 @@ def local_surrogate(instances: DataFrame, key: str, features: Sequence[str], sco
     pert = ex.select(key, "_s", *[(F.col(f) + z[f] * F.col(f"_sd_{f}")).alias(f) for f in features],
                      *[z[f].alias(f"_z_{f}") for f in features])
     dist = F.sqrt(sum((F.col(f"_z_{f}") ** 2 for f in features), F.lit(0.0)))
-    pert = pert.withColumn("_w", F.exp(-(dist ** 2) / (width ** 2)))
+    pert = pert.withColumn("_w", F.sqrt(F.exp(-(dist ** 2) / (width ** 2))))
     scored = scorer(pert)
-    fitted = LIN.fit_linear(scored.withColumn("_y", F.col("prediction")), features, "_y", [key], (1e-6,), weight="_w")
+    fitted = LIN.fit_linear(scored.withColumn("_y", F.col("prediction")), features, "_y", [key], (1.0,), weight="_w")
     imp = importance(fitted, features, [key], top)
     return imp.select(key, "feature", "weight", "rank")

@@ -79,7 +79,7 @@ def recursive_forecast(latest: DataFrame, model: DataFrame, features: Sequence[s
     fields = state_fields(features, target)
     j = attach_stats(latest, model.drop("alpha") if "alpha" in model.columns else model, entity)
     init = F.struct(F.col(time).cast("date").alias("date"),
-                    *[F.col(f).cast("double").alias(f) for f in fields],
+                    *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in fields],   # missing features count as 0
                     F.array().cast(OUT_TYPE).alias("out"))
 
     def step(s: Column, i: Column) -> Column:

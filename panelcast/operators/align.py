@@ -146,21 +146,23 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
     The as-of value is resolved on the *distinct* left keys (entity, time) -
     bounded by entities x calendar days, not by the left table - by a union
     with the right side and a forward fill in key order; right rows at the
-    same time sort first so they count as "at or before".  The result is
+    same time sort first so they count as "at or before".  Values keep their
+    type, and a NULL entity is an entity.  The result is
     then equi-joined back to the left rows, so a large left table is never
     ordered inside one window.
     """
     keys = [*entity, time]
-    lk = left.select(*keys).distinct().select(*keys, *[F.lit(None).cast("double").alias(v) for v in value_cols],
+    lk = left.select(*keys).distinct().select(*keys, *[F.lit(None).cast(right.schema[v].dataType).alias(v) for v in value_cols],
                                               F.lit(1).alias("_side"))
-    rk = right.select(*keys, *[F.col(v).cast("double").alias(v) for v in value_cols], F.lit(0).alias("_side"))
+    rk = right.select(*keys, *value_cols, F.lit(0).alias("_side"))
     w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(time, "_side")
     filled = lk.unionByName(rk).withColumns({v: F.last(v, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for v in value_cols})
     resolved = filled.filter(F.col("_side") == 1).drop("_side")
     base = left.drop(*[v for v in value_cols if v in left.columns])
     out_cols = list(base.columns) + list(value_cols)
-    return base.join(resolved, keys, "left").select(*out_cols)
+    from .stats import null_safe_join
+    return null_safe_join(base, resolved, keys).select(*out_cols)
 
 
 def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
@@ -213,14 +215,15 @@ def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str]
     carry = seg.select("_pid", *entity, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
                                           for c in cols])
     carry = carry if entity else F.broadcast(carry)       # no entity: one row per partition
-    out = filled.join(carry, ["_pid", *entity], "left")
+    from .stats import null_safe_join
+    out = null_safe_join(filled, carry, ["_pid", *entity])
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in cols})
     if backward:
         firsts = srt.groupBy(*entity).agg(*[
             F.min_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), ordering)).alias(f"_first_{c}")
             for c in cols])
         if entity:
-            out = out.join(firsts, list(entity), "left")
+            out = null_safe_join(out, firsts, entity)
         else:   # one row: a proven size bound
             out = out.withColumn("_one", F.lit(0)).join(F.broadcast(firsts.withColumn("_one", F.lit(0))), "_one")
         out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_first_{c}")) for c in cols})

@@ -69,7 +69,8 @@ def drop_last_row(df: DataFrame, order, entity: Sequence[str] = ()) -> DataFrame
     if entity:
         last = df.groupBy(*entity).agg(F.max(ordering).alias("_last"))
         tagged = df.withColumn("_ord", ordering)
-        return (tagged.join(last, [*entity], "left")
+        from .stats import null_safe_join
+        return (null_safe_join(tagged, last, entity)
                 .filter(F.col("_ord") != F.col("_last")).drop("_ord", "_last"))
     last = df.agg(F.max(ordering).alias("_last"))
     tagged = df.withColumn("_ord", ordering)

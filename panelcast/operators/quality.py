@@ -76,8 +76,8 @@ def feature_store_rules(df: DataFrame, time: str = "date", entity: Sequence[str]
     n = F.count(F.lit(1))
     nulls = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0))
     return [
-        Rule("unique_key", n == F.count_distinct(*[F.col(k) for k in keys]),
-             (n - F.count_distinct(*[F.col(k) for k in keys])).cast("string")),
+        Rule("unique_key", n == F.count_distinct(F.struct(*keys)),
+             (n - F.count_distinct(F.struct(*keys))).cast("string")),
         Rule("no_nulls", nulls == 0, nulls.cast("string")),
         Rule("non_empty", n > 0, n.cast("string")),
     ]
@@ -127,8 +127,8 @@ def acceptance_rules(df: DataFrame, value: str, time: str = "date", entity: Sequ
         Rule("min_rows", n >= min_rows, n.cast("string")),
         Rule("min_std", F.stddev_samp(value) >= min_std, F.round(F.stddev_samp(value), 2).cast("string")),
         Rule("no_nulls", F.count_if(F.col(value).isNull()) == 0, F.count_if(F.col(value).isNull()).cast("string")),
-        Rule("no_duplicates", n == F.count_distinct(*[F.col(c) for c in [*entity, time]]),
-             (n - F.count_distinct(*[F.col(c) for c in [*entity, time]])).cast("string")),
+        Rule("no_duplicates", n == F.count_distinct(F.struct(*entity, time)),
+             (n - F.count_distinct(F.struct(*entity, time))).cast("string")),
         Rule("few_gaps", F.count_if(F.col("_gap") > gap_days) <= max_gaps,
              F.count_if(F.col("_gap") > gap_days).cast("string")),
     ]

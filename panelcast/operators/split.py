@@ -59,8 +59,8 @@ def series_checks(df: DataFrame, time: str = "date", seq: str | None = None,
         return counts.withColumn("monotonic", F.lit(True))
     pos = global_index(df.select(*entity, time, seq), [seq], entity, col="_pos")
     nxt = pos.select(*entity, (F.col("_pos") - 1).alias("_pos"), F.col(time).alias("_next"))
-    steps = pos.join(nxt, [*entity, "_pos"])
+    from .stats import attach_stats, null_safe_join
+    steps = null_safe_join(pos, nxt, [*entity, "_pos"], "inner")
     bad = steps.groupBy(*entity).agg(F.count_if(F.col("_next") < F.col(time)).alias("_bad"))
-    from .stats import attach_stats
     out = attach_stats(counts, bad, entity)
     return out.select(*entity, (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("monotonic"), "unique", "rows")

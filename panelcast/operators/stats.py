@@ -20,15 +20,23 @@ def _w(entity: Sequence[str]):
     return Window.partitionBy(*entity) if entity else Window.partitionBy()
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on columns of both sides in which NULL equals NULL; the left
+    side's keys are kept."""
+    own = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    on = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r._key_{k}")) for k in keys]
+    return left.alias("_l").join(own.alias("_r"), on, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def attach_stats(df: DataFrame, stats: DataFrame, entity: Sequence[str] = (), how: str = "left") -> DataFrame:
     """Join per-entity statistics back onto the rows.
 
-    With entity keys this is an equi-join (AQE broadcasts the stats side when
-    it is small).  Without keys ``stats`` is a global aggregate - exactly one
+    With entity keys this is a null-safe equi-join, so a NULL entity is an
+    entity (AQE broadcasts the stats side when it is small).  Without keys ``stats`` is a global aggregate - exactly one
     row, a proven size bound - and is broadcast on a constant key.
     """
     if entity:
-        return df.join(stats, list(entity), how)
+        return null_safe_join(df, stats, entity, how)
     one = F.broadcast(stats.withColumn("_one", F.lit(0)))
     return df.withColumn("_one", F.lit(0)).join(one, "_one", how).drop("_one")
 
@@ -119,10 +127,12 @@ def descriptive_stats(df: DataFrame, value: str, entity: Sequence[str] = (), tim
     mean of the first difference (diff by ``time`` within the entity)."""
     w = series_window(entity, time)
     d = df.withColumn("_diff", F.col(value) - F.lag(value).over(w))
-    return d.groupBy(*entity).agg(
+    base = d.groupBy(*entity).agg(
         F.count(value).alias("count"), F.min(value).alias("min"), F.max(value).alias("max"),
-        F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_samp(value).alias("std"),
+        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.countDistinct(value).alias("unique"), F.avg("_diff").alias("mean_daily_diff"))
+    # The median by distributed ranks: no task holds a whole group.
+    return attach_stats(base, exact_percentiles(df, value, (0.5,), entity, ("median",)), entity)
 
 
 def range_report(df: DataFrame, time: str = "date", value: str | None = None,

@@ -248,11 +248,13 @@ def m15_feature_importance(spark, sf_dir):
 
 @register("m17_local_surrogate", ("M17", "K8"))
 def m17_local_surrogate(spark, sf_dir):
-    """Local weighted linear surrogates around 20 seeded rows of the store,
-    500 perturbations each, explaining the ridge model."""
+    """Local weighted linear surrogates around each priority's newest row and
+    one seeded row, 500 perturbations each, explaining the ridge model."""
     store = panel_store(spark, sf_dir).cache()
     model = LIN.fit_linear(store, FEATURES, LABEL, E, (1.0,))
-    sample = store.orderBy(F.xxhash64("o_orderpriority", "date", F.lit(42)), "o_orderpriority", "date").limit(20)
+    row = F.struct(*store.columns)
+    per = store.groupBy(*E).agg(F.max_by(row, "date").alias("a"), F.min_by(row, F.struct(F.xxhash64("date", F.lit(42)), "date")).alias("b"))
+    sample = per.select(F.explode(F.array("a", "b")).alias("r")).select("r.*").distinct()
     sample = sample.withColumn("instance", F.concat_ws("|", "o_orderpriority", F.col("date").cast("string")))
     scale = store.agg(*[F.stddev_samp(f).alias(f"_sd_{f}") for f in FEATURES])
     inst_entity = sample.select("instance", *E)

@@ -176,19 +176,31 @@ def s13_chunks(spark, sf_dir):
                                      F.max("l_orderkey").alias("last_order"))
 
 
-@register("s14_s15_latest_snapshot", ("S14", "S15", "S2"), f"""
-SELECT event_id, {R('value')} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-20'""")
-def s14_s15_latest_snapshot(spark, sf_dir):
-    """Three dated CSV snapshots of events; the newest by file name wins
-    (names sort by date), read through the file metadata column."""
+def _latest(spark, sf_dir, days, by):
+    """CSV snapshots of events, one folder with many part files for each day,
+    written in the order of ``days``; the newest is read back."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "value", "ts")
     base = _scratch(spark, "snap")
-    for day in ("2024-01-10", "2024-01-15", "2024-01-20"):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for day in days:
         part = ev.filter(F.col("ts") >= F.lit(day).cast("timestamp_ntz")).select("event_id", "value")
-        FI.write_csv(part.coalesce(1), f"{base}/prices_{day.replace('-', '')}", decimals=None)
+        FI.write_csv(part.repartition(parts, "event_id"), f"{base}/prices_{day.replace('-', '')}", decimals=None)
     scan = FI.read_csv(spark, f"{base}/prices_*", schema="event_id BIGINT, value DOUBLE", with_file=True)
-    scan = scan.withColumn("_file_name", F.col("_metadata.file_path"))
-    return round_doubles(FI.latest_file_rows(scan, by="name").select("event_id", "value"))
+    return round_doubles(FI.latest_snapshot_rows(scan, by=by).select("event_id", "value"))
+
+
+@register("s14_latest_snapshot_by_mtime", ("S14", "S2"), f"""
+SELECT event_id, {R('value')} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-10'""")
+def s14_latest_snapshot_by_mtime(spark, sf_dir):
+    """The snapshot written last wins, whatever its name."""
+    return _latest(spark, sf_dir, ("2024-01-15", "2024-01-20", "2024-01-10"), "mtime")
+
+
+@register("s14_s15_latest_snapshot", ("S15", "S2"), f"""
+SELECT event_id, {R('value')} AS value FROM events WHERE ts >= TIMESTAMP '2024-01-20'""")
+def s14_s15_latest_snapshot(spark, sf_dir):
+    """The newest by name wins (names sort by date), whenever it was written."""
+    return _latest(spark, sf_dir, ("2024-01-10", "2024-01-20", "2024-01-15"), "name")
 
 
 @register("s16_history_keep", ("S16", "T5", "K3"), f"""

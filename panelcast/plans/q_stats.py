@@ -379,7 +379,7 @@ def k8_seeded_sample(spark, sf_dir):
 WITH a AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold, count(*) AS n FROM orders
            WHERE o_orderstatus = 'F' GROUP BY 1),
 b AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold FROM orders
-      WHERE o_orderstatus = 'O' GROUP BY 1)
+      WHERE o_orderstatus <> 'F' GROUP BY 1)
 SELECT date, {R('gold')} AS gold, n, 'F' AS src FROM a UNION ALL
 SELECT date, {R('gold')} AS gold, CAST(NULL AS BIGINT) AS n, 'O' AS src FROM b""")
 def u1_union_by_name(spark, sf_dir):
@@ -387,6 +387,6 @@ def u1_union_by_name(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
     a = (o.filter(F.col("o_orderstatus") == "F").groupBy(F.to_date("o_orderdate").alias("date"))
          .agg(F.avg("o_totalprice").alias("gold"), F.count(F.lit(1)).alias("n")).withColumn("src", F.lit("F")))
-    b = (o.filter(F.col("o_orderstatus") == "O").groupBy(F.to_date("o_orderdate").alias("date"))
+    b = (o.filter(F.col("o_orderstatus") != "F").groupBy(F.to_date("o_orderdate").alias("date"))
          .agg(F.avg("o_totalprice").alias("gold")).withColumn("src", F.lit("O")))
     return round_doubles(a.unionByName(b, allowMissingColumns=True))

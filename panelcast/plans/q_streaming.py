@@ -129,5 +129,5 @@ def t5_stream_monitoring(spark, sf_dir):
     out = scratch_path(spark, f"stream-t5-{uuid.uuid4().hex}")
     run_available(_source(spark, src), checkpoint=f"{out}/_checkpoint",
                   foreach_batch=history_sink(f"{out}/history", "value"))
-    hist = spark.read.parquet(f"{out}/history")
+    hist = spark.read.parquet(f"{out}/history").drop("epoch")
     return hist.orderBy(F.col("batch_id").desc()).limit(100)

@@ -272,13 +272,12 @@ def w19_series_checks(spark, sf_dir):
 
 @register("j4_asof_join", ("J4",), f"""
 WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders),
-s AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_extendedprice) AS "set" FROM lineitem
-      WHERE l_returnflag = 'R' GROUP BY 1)
+s AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_extendedprice) AS "set" FROM lineitem GROUP BY 1)
 SELECT o.o_orderkey, o.date, {R('s."set"')} AS "set" FROM o ASOF LEFT JOIN s ON o.date >= s.date""")
 def j4_asof_join(spark, sf_dir):
-    """Each order gets the last daily returned-item price at or before its date."""
+    """Each order gets the last daily item price at or before its date."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
-    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = read_table(spark, sf_dir, "lineitem")
     s = li.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.avg("l_extendedprice").alias("set"))
     return round_doubles(asof_join(o, s, ["set"]))
 

@@ -80,8 +80,8 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temp folder) when nothing is configured, i.e. in local tests.
+    The cluster names it in ``spark.checkpoint.dir``; without it, a cluster
+    is refused, and a local session gets a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -94,6 +94,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -26,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, all_stri
         r = r.option("inferSchema", True)
     df = r.csv(path)
     if with_file:
-        df = df.select("*", F.col("_metadata.file_name").alias("_file_name"),
+        df = df.select("*", F.col("_metadata.file_path").alias("_file_name"),
                        F.col("_metadata.file_modification_time").alias("_file_mtime"))
     return df
 
@@ -45,13 +45,20 @@ def write_csv(df: DataFrame, path: str, decimals: int | None = 2, mode: str = "o
     out.write.mode(mode).option("header", True).csv(path)
 
 
-def latest_file_rows(df: DataFrame, by: str = "mtime") -> DataFrame:
-    """S14 (``by='mtime'``) / S15 (``by='name'``): keep the rows of the
-    newest file, from a scan read with ``with_file=True``.  The newest file
-    is one aggregate row joined back (broadcast: one row)."""
-    key = "_file_mtime" if by == "mtime" else "_file_name"
-    newest = df.agg(F.max(key).alias("_newest"))
-    return (df.join(F.broadcast(newest), df[key] == newest["_newest"], "left_semi"))
+def latest_snapshot_rows(df: DataFrame, by: str = "mtime", unit: str = "folder") -> DataFrame:
+    """S14 (``by='mtime'``) / S15 (``by='name'``): the rows of the newest
+    snapshot, from a scan read with ``with_file=True``.
+
+    A snapshot is a folder with all its part files (``unit='folder'``, as
+    Spark writes them) or one file (``unit='file'``).  Its time is that of its
+    newest part; equal times are decided by name.  The newest snapshot is one
+    aggregate row joined back (broadcast: one row)."""
+    name = F.col("_file_name")
+    snapshot = F.regexp_replace(name, "/[^/]*$", "") if unit == "folder" else name
+    d = df.withColumn("_snapshot", snapshot)
+    order = F.struct("_file_mtime", "_snapshot") if by == "mtime" else F.struct("_snapshot")
+    newest = d.agg(F.max(order).alias("_top")).select(F.col("_top._snapshot").alias("_newest"))
+    return d.join(F.broadcast(newest), d["_snapshot"] == newest["_newest"], "left_semi").drop("_snapshot")
 
 
 def wide_report_to_long(df: DataFrame, id_cols: Sequence[str], month_cols: Sequence[str], year_col: str,

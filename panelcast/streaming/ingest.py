@@ -47,16 +47,17 @@ def read_merged(spark: SparkSession, path: str, key, order: Sequence[str]) -> Da
 
 
 def history_sink(path: str, value: str):
-    """T5 foreachBatch writer: append one report row per micro-batch."""
+    """T5 foreachBatch writer: one report row per micro-batch, in a folder of
+    its epoch, so a replayed epoch replaces its row."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         rep = batch.agg(F.count(F.lit(1)).alias("rows"), F.avg(value).alias("mean_value"),
                         F.max("ts").alias("max_ts")).withColumn("batch_id", F.lit(epoch_id))
-        rep.write.mode("append").parquet(path)
+        rep.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
     return write
 
 
 def run_available(stream_df: DataFrame, sink: str | None = None, checkpoint: str = "", fmt: str = "parquet",
-                  foreach_batch=None, output_mode: str = "append", timeout_s: int = 600,
+                  foreach_batch=None, output_mode: str = "append", timeout_s: int | None = None,
                   state_partitions: int | None = None) -> None:
     """Run a streaming query over everything available, then stop.
 
@@ -77,7 +78,7 @@ def run_available(stream_df: DataFrame, sink: str | None = None, checkpoint: str
             q = w.format(fmt).option("path", sink).start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("streaming query did not finish in time")

@@ -4,6 +4,8 @@ HTML rows, upsert keep-last."""
 import time
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from panelcast.session import scratch_path
@@ -12,19 +14,17 @@ from panelcast.sources import json as J
 from panelcast.sources import upsert as U
 
 
-def test_latest_file_by_mtime_and_name(spark):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_latest_snapshot_by_mtime_and_name(spark, parts):
     base = scratch_path(spark, f"test-snap-{uuid.uuid4().hex}")
     # written second but named first: mtime and name disagree on purpose
-    FI.write_csv(spark.createDataFrame([(1, 1.0), (2, 2.0)], "id int, v double").coalesce(1), f"{base}/b_snap",
-                 decimals=None)
+    FI.write_csv(spark.range(100).selectExpr("int(id) AS id", "1.0D AS v").repartition(parts), f"{base}/b_snap", decimals=None)
     time.sleep(1.2)
-    FI.write_csv(spark.createDataFrame([(3, 3.0)], "id int, v double").coalesce(1), f"{base}/a_snap", decimals=None)
+    FI.write_csv(spark.range(200, 240).selectExpr("int(id) AS id", "3.0D AS v").repartition(parts), f"{base}/a_snap", decimals=None)
     scan = FI.read_csv(spark, f"{base}/*_snap", schema="id INT, v DOUBLE", with_file=True)
-    by_mtime = sorted(r.id for r in FI.latest_file_rows(scan, "mtime").collect())
-    by_name = sorted(r.id for r in FI.latest_file_rows(
-        scan.withColumn("_file_name", F.col("_metadata.file_path")), "name").collect())
-    assert by_mtime == [3]
-    assert by_name == [1, 2]
+    assert sorted(r.id for r in FI.latest_snapshot_rows(scan, "mtime").collect()) == list(range(200, 240))
+    assert sorted(r.id for r in FI.latest_snapshot_rows(scan, "name").collect()) == list(range(100))
+    assert FI.latest_snapshot_rows(scan, "name", unit="file").count() == 100 // parts
 
 
 def test_json_records_and_missing_keys(spark):
