@@ -29,6 +29,9 @@ LONG_TEXT = 2_000_000        # characters beyond which matches are taken in port
 PORTION = 200_000
 
 
+_BIT = [1 << i for i in range(4096)]     # words of 256 ranks each: a million ranks
+
+
 class RankQueue:
     """Priority queue of (rank, position): lowest rank first, then leftmost.
 
@@ -43,13 +46,16 @@ class RankQueue:
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, pos: int) -> None:
-        if rank in self.buckets:
-            heappush(self.buckets[rank], pos)
-        else:
+        bucket = self.buckets.get(rank)
+        if bucket is None:
             self.buckets[rank] = [pos]
             w = rank >> 8
-            self.words[w] |= 1 << (rank & 255)
-            self.top |= 1 << w
+            word = self.words[w]
+            self.words[w] = word | _BIT[rank & 255]
+            if not word:
+                self.top |= _BIT[w]
+        else:
+            heappush(bucket, pos)
 
     def pop(self) -> tuple[int, int]:
         w = (self.top & -self.top).bit_length() - 1
@@ -60,9 +66,9 @@ class RankQueue:
         if len(bucket) > 1:
             return rank, heappop(bucket)
         del self.buckets[rank]
-        self.words[w] = word = word ^ low
-        if not word:
-            self.top ^= 1 << w
+        self.words[w] = word ^ low
+        if word == low:
+            self.top ^= _BIT[w]
         return rank, bucket[0]
 
 
@@ -117,31 +123,34 @@ class Encoder(dict):
         if whole is not None:
             return [whole]
         n = len(piece)
+        if n == 2:
+            return [ranks[piece[:1]], ranks[piece[1:]]]
+        get, push, pop = ranks.get, queue.push, queue.pop
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [None] * n       # rank of the pair that begins here, None if it can't merge
-        for i in range(n - 1):
-            r = ranks.get(piece[i:i + 2])
+        pair = [get(piece[i:i + 2]) for i in range(n)]      # rank of the pair that begins here, None if it can't merge
+        pair[n - 1] = None                                  # the last byte begins none
+        for i, r in enumerate(pair):
             if r is not None:
-                pair[i] = r
-                queue.push(r, i)
+                push(r, i)
         while queue.top:
-            r, i = queue.pop()
+            r, i = pop()
             if pair[i] != r:                       # stale
                 continue
             j = after[i]
             k = after[j]
-            after[i], pair[j], pair[i] = k, None, None
+            after[i], pair[j] = k, None
+            r = None
             if k < n:
                 before[k] = i
-                r = ranks.get(piece[i:after[k]])
+                r = get(piece[i:after[k]])
                 if r is not None:
-                    pair[i] = r
-                    queue.push(r, i)
+                    push(r, i)
+            pair[i] = r
             p = before[i]
             if p >= 0:
-                r = pair[p] = ranks.get(piece[p:k])
+                r = pair[p] = get(piece[p:k])
                 if r is not None:
-                    queue.push(r, p)
+                    push(r, p)
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i:after[i]]])
