@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, texts
 
-CACHE_ENTRIES = 500_000      # pre-tokens (and as many pieces) kept per worker, some 100 MB each
+CACHE_ENTRIES = 1_000_000    # pre-tokens (and as many pieces) kept per worker, some 180 MB each
 LONG_TEXT = 2_000_000        # characters beyond which matches are taken in portions
 PORTION = 200_000
 

@@ -29,7 +29,7 @@ from .common import durable, texts
 WINDOW = 2048
 MAX_TRIPLES = 30_000     # combinations of three that are tried; more are thinned evenly
 ITERATIONS = 300
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 1_000_000      # words kept in each worker, some 180 MB
 _PID = 33                # monotonically_increasing_id: partition above, row below this bit
 
 
@@ -37,6 +37,21 @@ _PID = 33                # monotonically_increasing_id: partition above, row bel
 _PLAIN = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xDE\xDF-\xF6\xF8-\xFF]+)([.,;:!?]?)")
 
 
+_WIDE = re.compile(r"[^\x00-\xFF]")
+_RUN = re.compile(r"[^A-Za-z0-9\xC0-\xD6\xD8-\xF6\xF8-\xFF ][.,]")      # maybe a mark that the stop or comma belongs to
+
+
+def _pieces(text: str) -> list[str]:
+    """Strings that can be encoded apart: what lies between blanks and line
+    feeds, in Latin-1 texts in lower case and without a final stop or comma."""
+    text = text.replace("\n", " ")
+    if not _WIDE.search(text):
+        text = text.lower()
+        if not _RUN.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ")
+    return text.split(" ")
+
+
 class _Words(dict):
     """Piece of text without blank or line feed -> its ids, packed."""
 
@@ -76,7 +91,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
         words = _words(path)
         end = np.array([end_id], words.dtype).tobytes()
         for b in batches:
-            ids = [b"".join(map(words.__getitem__, t.replace("\n", " ").split(" "))) + end for t in texts(b)]
+            ids = [b"".join(map(words.__getitem__, _pieces(t))) + end for t in texts(b)]
             n = [len(x) // words.dtype.itemsize for x in ids]
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("doc_id"), pa.array(n, pa.int64()),
                                               pa.array(ids, pa.binary())], names=["rid", "doc_id", "n", "ids"])
