@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ModelConfig
-from ..operators.split import chronological_split, contiguous_folds
+from ..operators.split import split_and_folds
 from ..operators.stats import attach_stats, regression_metrics
 from . import linear as LIN
 from . import mllib as ML
@@ -32,10 +32,7 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, cfg: ModelConfig
             entity: Sequence[str] = (), time: str = "date") -> DataFrame:
     """P14 complete cases -> W17 split -> W18 folds on the train part."""
     d = df.dropna(subset=[*features, label])
-    d = chronological_split(d, cfg.test_fraction, entity, time)
-    train = contiguous_folds(d.filter(F.col("split") == "train"), cfg.folds, entity, time)
-    test = d.filter(F.col("split") == "test").withColumn("fold", F.lit(None).cast("int"))
-    return train.unionByName(test)
+    return split_and_folds(d, cfg.test_fraction, cfg.folds, entity, time)
 
 
 def _metrics(scored: DataFrame, label: str, name: str, entity: Sequence[str]) -> DataFrame:

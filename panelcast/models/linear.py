@@ -3,14 +3,16 @@ M3 lasso, M7 cross-validation, M9 grid search, M12/M18 scoring, M17
 weighted fits).
 
 Fitting is a partial aggregation, as Spark does for ``avg``:
-1. ``mapInPandas``: for each Arrow batch and key (entity, or entity and
-   fold) the weight total, means and *centred* cross-products of the
-   features and label (numpy, vectorised) - one small row per key per batch;
-2. only these partial rows are shuffled; ``applyInPandas`` per entity merges
-   them with the pairwise update of Chan et al. (numerically stable, no
-   global shift needed) and solves the k x k systems.
-The per-entity work is bounded by the number of partial rows (batches x
-folds), never by the entity's row count, and millions of entities solve in
+1. ``mapInPandas``: for each task and key (entity, or entity and fold) the
+   weight total, means and *centred* cross-products of the features and
+   label (numpy, vectorised), carried from batch to batch - one small row
+   per key per task;
+2. only these partial rows are shuffled and merged in two levels with the
+   pairwise update of Chan et al. (numerically stable, no global shift
+   needed): first per key and ``MERGE_BUCKETS`` hash buckets of tasks, then
+   ``applyInPandas`` per entity, which also solves the k x k systems.
+The last merge of an entity sees at most ``MERGE_BUCKETS`` rows per fold,
+whatever the number of rows or tasks, and millions of entities solve in
 parallel.  K-fold CV merges all folds but one; an alpha grid re-solves the
 same statistics.
 
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 
 from ..operators.stats import attach_stats
 
+MERGE_BUCKETS = 64      # partial rows of a key at the last merge
+HELD_KEYS = 4096        # keys whose statistics a task holds before it passes them on
+
 # Layout of a statistics vector: [n, mean_y, Cyy, mean_x (k), Cxy (k), Cxx (k*k)].
 
 
@@ -104,28 +109,43 @@ def _solve(stats: np.ndarray, k: int, alpha: float, penalty: str = "l2") -> tupl
 
 def partial_stats(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = (),
                   weight: str | None = None) -> DataFrame:
-    """Per Arrow batch and key: one row ``(keys..., stats array<double>)``."""
+    """One row ``(keys..., stats array<double>)`` per key and bucket of tasks."""
     feats, keys = list(features), list(keys)
     cols = [*keys, *feats, label] + ([weight] if weight else [])
     d = df.select(*[F.col(c) for c in cols]).dropna(subset=[*feats, label])
     types = {f.name: f.dataType.simpleString() for f in d.schema.fields}
     schema = ", ".join([f"`{c}` {types[c]}" for c in keys] + ["stats array<double>"])
 
+    k = len(feats)
+
+    def rows_of(held: dict) -> pd.DataFrame:
+        return pd.DataFrame([[*key, s.tolist()] for key, s in held.items()], columns=[*keys, "stats"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, np.ndarray] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
             groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
-            rows = []
             for key, g in groups:
                 x = g[feats].to_numpy(dtype=float)
                 y = g[label].to_numpy(dtype=float)
                 w = g[weight].to_numpy(dtype=float) if weight else np.ones(len(g))
-                key = key if isinstance(key, tuple) else (key,)
-                rows.append([*key, _partial(x, y, w).tolist()])
-            yield pd.DataFrame(rows, columns=[*keys, "stats"])
-
-    return d.mapInPandas(run, schema)
+                key = tuple(None if pd.isna(v) else v for v in (key if isinstance(key, tuple) else (key,)))
+                s = _partial(x, y, w)
+                held[key] = _merge([held[key], s], k) if key in held else s
+            if len(held) > HELD_KEYS:
+                yield rows_of(held)
+                held = {}
+        if held:
+            yield rows_of(held)
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = [None if pd.isna(pdf.iloc[0][c]) else pdf.iloc[0][c] for c in keys]
+        return pd.DataFrame([[*key, _merge([np.asarray(s) for s in pdf["stats"]], k).tolist()]], columns=[*keys, "stats"])
+
+    parts = d.mapInPandas(run, schema).withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(MERGE_BUCKETS)))
+    return parts.groupBy(*keys, "_bucket").applyInPandas(merge, schema)
 
 
 def _model_schema(df: DataFrame, keys: Sequence[str]) -> str:

@@ -51,8 +51,9 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], static: Sequence[tuple[str, b
 
 
 def schema_rules(df: DataFrame, required: Sequence[str], optional: Sequence[str] = (), numeric: bool = True,
-                 time: str = "date", severity: str = FAIL) -> list[tuple[str, bool, str, str]]:
-    """Q1/Q4/Q5 schema part: time column, required columns, numeric types."""
+                 time: str = "date", severity: str = FAIL, any_of: Sequence[str] = ()) -> list[tuple[str, bool, str, str]]:
+    """Q1/Q4/Q5 schema part: time column, required columns, at least one of
+    ``any_of`` (price columns), numeric types."""
     cols = set(df.columns)
     missing = [c for c in required if c not in cols]
     out = [(f"has_{time}", time in cols, severity, ""),
@@ -60,6 +61,9 @@ def schema_rules(df: DataFrame, required: Sequence[str], optional: Sequence[str]
     if optional:
         absent = [c for c in optional if c not in cols]
         out.append(("optional_columns", not absent, WARN, ",".join(absent)))
+    if any_of:
+        present = [c for c in any_of if c in cols]
+        out.append(("any_column", bool(present), severity, ",".join(present)))
     if numeric:
         types = {f.name: f.dataType for f in df.schema.fields}
         bad = [c for c in required if c in types and c != time and not isinstance(types[c], NumericType)]
@@ -83,9 +87,9 @@ def feature_store_rules(df: DataFrame, time: str = "date", entity: Sequence[str]
     ]
 
 
-def monotonic_rule(df: DataFrame, time: str = "date", seq: str | None = None, entity: Sequence[str] = ()) -> DataFrame:
+def monotonic_rule(df: DataFrame, time: str, seq: str, entity: Sequence[str] = ()) -> DataFrame:
     """Q1: ``time`` non-decreasing in arrival order ``seq`` (per entity) as a
-    rule row; uses the distributed arrival-order check (W19)."""
+    rule row, the detail the number of entities that break it; uses the distributed arrival-order check (W19)."""
     from .split import series_checks
     checks = series_checks(df, time, seq, entity)
     bad = F.count_if(~F.col("monotonic"))

@@ -41,10 +41,27 @@ def contiguous_folds(df: DataFrame, k: int = 5, entity: Sequence[str] = (), time
     return df.withColumn(col, F.ntile(k).over(series_window(entity, time)) - 1)
 
 
+def split_and_folds(df: DataFrame, test_fraction: float = 0.2, k: int = 5, entity: Sequence[str] = (),
+                    time: str = "date") -> DataFrame:
+    """W17 (``ceil_test``) and W18 in one projection over one window: column
+    ``split``, and ``fold`` of the train rows (NULL for test rows)."""
+    d = (df.withColumn("_i", F.row_number().over(series_window(entity, time)) - 1)
+         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*entity) if entity else Window.partitionBy())))
+    d = d.withColumn("_n", F.col("_n") - F.ceil(F.col("_n") * F.lit(test_fraction)))
+    i, base, larger = F.col("_i"), F.floor(F.col("_n") / k), F.col("_n") % k
+    # The first ``larger`` folds hold one row more.
+    fold = F.when(i < larger * (base + 1), F.floor(i / (base + 1))).otherwise(
+        larger + F.floor((i - larger * (base + 1)) / F.greatest(base, F.lit(1))))
+    train = i < F.col("_n")
+    return d.withColumns({"split": F.when(train, "train").otherwise("test"),
+                          "fold": F.when(train, fold.cast("int"))}).drop("_i", "_n")
+
+
 def series_checks(df: DataFrame, time: str = "date", seq: str | None = None,
                   entity: Sequence[str] = ()) -> DataFrame:
     """Is ``time`` non-decreasing in arrival order ``seq`` and unique?
-    One row per entity.
+    One row per entity.  Without an arrival column ``monotonic`` is NULL:
+    the order of rows is not known.
 
     Raw rows of one entity are not ordered inside one window: each row gets
     its distributed position in ``seq`` order (``global_index``) and is
@@ -56,7 +73,7 @@ def series_checks(df: DataFrame, time: str = "date", seq: str | None = None,
     counts = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("rows"),
                                      (F.count(F.lit(1)) == F.countDistinct(time)).alias("unique"))
     if seq is None:
-        return counts.withColumn("monotonic", F.lit(True))
+        return counts.withColumn("monotonic", F.lit(None).cast("boolean"))
     pos = global_index(df.select(*entity, time, seq), [seq], entity, col="_pos")
     nxt = pos.select(*entity, (F.col("_pos") - 1).alias("_pos"), F.col(time).alias("_next"))
     from .stats import attach_stats, null_safe_join

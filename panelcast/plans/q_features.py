@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..config import FeatureConfig
 from .feature_store import business_day_store, full_outer_alignment, round_doubles
 from .registry import register
-from .series import all_series, cpi_series, fx_series, gold_series, oil_series, set_series
+from .series import all_series
 from .sqlgen import R, feature_store_sql
 
 PANEL = FeatureConfig(entity=("o_orderpriority",))
@@ -77,7 +77,6 @@ FROM f WHERE gold IS NOT NULL
 
 @register("c4_full_outer_alignment", ("C4", "J2", "J3", "W6", "P9", "A1"), _C4_SQL)
 def c4_full_outer_alignment(spark, sf_dir):
-    series = [gold_series(spark, sf_dir, by_priority=False), fx_series(spark, sf_dir), cpi_series(spark, sf_dir),
-              oil_series(spark, sf_dir), set_series(spark, sf_dir)]
+    series = all_series(spark, sf_dir, with_btc=False, by_priority=False)
     return round_doubles(full_outer_alignment(series, SINGLE, optional=("btc",)))
 

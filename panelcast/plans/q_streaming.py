@@ -42,8 +42,8 @@ def _deliver(spark, sf_dir, corrections: bool = False) -> tuple[str, int]:
 
 
 def files_per_chunk(rows: int, chunks: int, rows_per_file: int = 1_000_000) -> int:
-    """Files per weekly chunk: about a million rows each, 2..512."""
-    return int(min(512, max(2, -(-rows // max(1, chunks) // rows_per_file))))
+    """Files per weekly chunk: about a million rows each, at least 2."""
+    return int(max(2, -(-rows // max(1, chunks) // rows_per_file)))
 
 
 def _source(spark, delivered: tuple[str, int]):
@@ -56,10 +56,10 @@ def _source(spark, delivered: tuple[str, int]):
 
 def state_partitions(spark, delivered: tuple[str, int]) -> int:
     """State-store partitions for the per-user state: at least one per core
-    (the per-user step runs in Python workers) and a few per file of a
-    micro-batch; the state grows with the number of users, not rows."""
+    (the per-user step runs in Python workers), two per file of a micro-batch,
+    at most four per core; the state grows with the number of users, not rows."""
     cores = spark.sparkContext.defaultParallelism
-    return int(min(2000, max(cores, 2 * delivered[1])))
+    return int(min(4 * cores, max(cores, 2 * delivered[1])))
 
 
 @register("t3_stream_features", ("T1", "T3", "W1", "W3", "W4"), f"""

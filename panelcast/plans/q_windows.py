@@ -73,11 +73,10 @@ def w6_w8_fills(spark, sf_dir):
     b = g.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     cal = calendar(spark, b["lo"], b["hi"], None, entities=g.select(*E).distinct())
     j = cal.join(g, [*E, "date"], "left")
-    f1 = fill(j.withColumnRenamed("gold", "gold_ffill"), ["gold_ffill"], E, backward=False)
-    f2 = fill(j.withColumnRenamed("gold", "gold_ffill_bfill"), ["gold_ffill_bfill"], E, backward=True)
-    f3 = fill(j.withColumnRenamed("gold", "gold_ffill_zero"), ["gold_ffill_zero"], E, backward=False, zero=True)
-    out = f1.join(f2, [*E, "date"]).join(f3, [*E, "date"])
-    return round_doubles(out)
+    j = j.select(*E, "date", *[F.col("gold").alias(f"gold_{m}") for m in ("ffill", "ffill_bfill", "ffill_zero")])
+    out = fill(j, ["gold_ffill"], E, backward=False)
+    out = fill(out, ["gold_ffill_bfill"], E, backward=True)
+    return round_doubles(fill(out, ["gold_ffill_zero"], E, backward=False, zero=True))
 
 
 @register("w6_ffill_long_series", ("W6",), f"""

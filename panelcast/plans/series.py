@@ -105,7 +105,8 @@ def all_series(spark: SparkSession, sf_dir: str, with_btc: bool = True, by_prior
     """gold, fx, cpi, oil, set [, btc] from three scans (orders, lineitem,
     lineitem x part).  With ``materialize`` the small per-day results are
     cached; the bounds job of the feature build fills the cache in its one
-    pass, so the raw tables are scanned once.  A lost cache block is
+    pass.  lineitem is read by two loaders (per day, and per period and part):
+    one aggregate for both would keep nearly every row.  A lost cache block is
     recomputed from lineage, so executor loss only costs time."""
     gold = gold_series(spark, sf_dir, by_priority)
     daily = lineitem_daily(spark, sf_dir)
