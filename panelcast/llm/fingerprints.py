@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 SKETCH = 64              # names kept of a document
 FIRST_LEVEL, LEVELS = 2, 6
 PORTION = 400_000        # symbols parsed at once, unless one text is longer
-BUCKET_BYTES = 8 << 20   # text in one bucket of neighbouring documents
+BUCKET_BYTES = 8 << 20   # text in one bucket of neighbouring documents ...
+MAX_BUCKETS = 20_000     # ... unless that gives more buckets than this: their bounds are held on the driver
 
 _TRAILING = np.array([8] + [(i & -i).bit_length() - 1 for i in range(1, 256)], np.uint8)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -152,10 +153,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     Buckets are ranges of doc_id.  Each also gets, as halo rows sorted last,
     the first documents of the bucket below it (the lowest: those of the
     highest), so no bucket needs another.  Only the buckets' bounds are
-    collected."""
+    collected, at most ``MAX_BUCKETS``; larger buckets are sorted on disk and
+    streamed, so their size is not held in memory."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n, size = d.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    buckets = max(1, -(-(size or 0) // BUCKET_BYTES))
+    buckets = max(1, min(MAX_BUCKETS, -(-(size or 0) // BUCKET_BYTES)))
     cuts = d.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if n and buckets > 1 else []
     cuts = np.array(sorted({int(c) for c in cuts}), np.int64)
 
