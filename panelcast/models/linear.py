@@ -70,7 +70,7 @@ def _lasso_cd(cxx: np.ndarray, cxy: np.ndarray, n: float, alpha: float, max_iter
     Minimises 1/(2n) ||yc - Xc w||^2 + alpha ||w||_1 on centred data (the
     scikit-learn objective with an intercept) using only Cxx = Xc'Xc and
     Cxy = Xc'yc; stops when the largest coefficient step is below ``tol``
-    times the largest coefficient (scikit-learn's stopping rule).
+    times the largest coefficient, or after ``max_iter`` rounds.
     """
     k = len(cxy)
     w = np.zeros(k)
