@@ -18,6 +18,7 @@ from .common import map_rows, texts
 
 ROWS_PER_LANGUAGE = 400      # sample a dictionary is made of: rows ...
 CHARS_PER_ROW = 4000         # ... and characters of each
+BIN_BITS = 12                # leading bits of a hash by which rows are counted first
 DICTIONARY_BYTES = 32 << 10
 CHUNK_BYTES = 4096
 LEVEL, SHORT_LEVEL = 6, 19
@@ -34,12 +35,22 @@ def fit(rows: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> dict[str
     Lines found under more than one language are left out, and a line counts
     once.  The number of languages is that of the labels.  Null texts or
     labels are skipped."""
-    w = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (rows.where("lang IS NOT NULL AND length(text) > 0")
-              .select("lang", F.substring("text", 1, CHARS_PER_ROW).alias("text"))
-              .withColumn("h", F.xxhash64("text"))
-              .dropDuplicates(["lang", "h"])
-              .withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows_per_language)
+    d = (rows.where("lang IS NOT NULL AND length(text) > 0")
+         .select("lang", F.substring("text", 1, CHARS_PER_ROW).alias("text"))
+         .withColumn("h", F.xxhash64("text")))
+    # Hashes are chosen before any text moves: bins of the hash are counted, the
+    # bins up to the one that completes a language's sample are ranked.
+    hashes = d.select("lang", "h").distinct().withColumn("bin", F.shiftright("h", 64 - BIN_BITS))
+    upto = F.sum("c").over(Window.partitionBy("lang").orderBy("bin"))
+    cuts = (hashes.groupBy("lang", "bin").agg(F.count("*").alias("c"))
+            .withColumn("before", upto - F.col("c")).where(F.col("before") < rows_per_language)
+            .groupBy("lang").agg(F.max("bin").alias("cut")))
+    chosen = (hashes.join(F.broadcast(cuts), "lang").where("bin <= cut")
+              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+              .where(F.col("r") <= rows_per_language).select("lang", "h"))
+    # Broadcast: one row, and at most rows_per_language rows, of a language; the
+    # sample itself, which is larger, goes to the driver.
+    sample = (d.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
               .select("lang", "text").collect())
     lines: dict[str, set[str]] = {}
     for lang, text in sample:
