@@ -206,6 +206,43 @@ def m9_grid_search(spark, sf_dir):
     return CMP.grid_search(panel_store(spark, sf_dir), FEATURES, LABEL, ModelConfig(), E)
 
 
+_PER = ("covar_pop(x, gold_next) * count(*) AS sxy, covar_pop(x, x) * count(*) AS sxx, avg(x) AS mx, "
+        "avg(gold_next) AS my")
+
+
+@register("m9_grid_search_single", ("M9", "M8", "W17", "W18", "A15"), f"""
+WITH {_SINGLE[5:].split(',\nc AS')[0]},
+d AS (SELECT *, gold / 10000.0 AS x FROM n WHERE gold_next IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY o_orderpriority) AS cnt FROM d),
+tr AS (SELECT *, ntile(5) OVER (PARTITION BY o_orderpriority ORDER BY date) - 1 AS fold FROM s
+       WHERE rn <= cnt - ceil(0.2 * cnt)),
+te AS (SELECT * FROM s WHERE rn > cnt - ceil(0.2 * cnt)),
+folds AS (SELECT DISTINCT o_orderpriority AS p, fold AS f FROM tr),
+st AS (SELECT p AS o_orderpriority, f AS fold, {_PER} FROM folds JOIN tr ON o_orderpriority = p AND fold <> f GROUP BY 1, 2),
+ta AS (SELECT tr.*, st.* EXCLUDE (o_orderpriority, fold), unnest({[float(a) for a in ModelConfig().grid_alphas]}) AS alpha
+       FROM tr JOIN st USING (o_orderpriority, fold)),
+e AS (SELECT o_orderpriority, fold, alpha, avg(abs(gold_next - (my + sxy / (sxx + alpha) * (x - mx)))) AS mae
+      FROM ta GROUP BY 1, 2, 3),
+cv AS (SELECT o_orderpriority, alpha, avg(mae) AS cv_mae FROM e GROUP BY 1, 2),
+b AS (SELECT o_orderpriority, arg_min(alpha, cv_mae) AS alpha, min(cv_mae) AS cv_mae FROM cv GROUP BY 1),
+ft AS (SELECT o_orderpriority, {_PER} FROM tr GROUP BY 1),
+p AS (SELECT te.o_orderpriority, b.alpha, b.cv_mae, te.gold_next AS y,
+             te.gold_next - (my + sxy / (sxx + b.alpha) * (te.x - mx)) AS r
+      FROM te JOIN b USING (o_orderpriority) JOIN ft USING (o_orderpriority))
+SELECT o_orderpriority, CAST(alpha AS DOUBLE) AS alpha, {R('cv_mae')} AS cv_mae, {R('avg(abs(r))')} AS mae,
+  {R('sqrt(avg(r * r))')} AS rmse, {R('1 - sum(r * r) / (var_pop(y) * count(*))', 6)} AS r2
+FROM p GROUP BY o_orderpriority, alpha, cv_mae""")
+def m9_grid_search_single(spark, sf_dir):
+    """Ridge alpha grid of next-day price on today's (in ten thousands) per
+    priority: alpha of the least 5-fold MAE, refitted and scored on the test part."""
+    d = _gold_next(spark, sf_dir).withColumn("x", F.col("gold") / 10000.0)
+    g = CMP.grid_search(d, ["x"], LABEL, ModelConfig(), E)
+    nudge = F.lit(1.000000000001)
+    return g.select(*E, "alpha", *[F.round(F.col(c) * nudge, 4).alias(c) for c in ("cv_mae", "mae", "rmse")],
+                    F.round(F.col("r2") * nudge, 6).alias("r2"))
+
+
 def _forecast_inputs(spark, sf_dir):
     store = panel_store(spark, sf_dir).cache()
     model = LIN.fit_linear(store, FEATURES, LABEL, E, (1.0,))
