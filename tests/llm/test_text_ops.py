@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 import edge  # noqa: E402
@@ -211,3 +212,15 @@ def test_parsing_is_locally_consistent():
     assert fingerprints.likeness(a, c, 10**6) < 0.1
     batch = fingerprints.sketches([core, "", "q", core[:50], core])
     assert [x.tolist() for x in batch] == [fingerprints.sketches([x])[0].tolist() for x in (core, "", "q", core[:50], core)]
+
+
+def test_language_sample_is_that_of_the_lowest_hashes(spark):
+    """Copies count once, null labels and empty texts not at all, whatever the sizes."""
+    rows = [(f"w{i} x{i % 7} line{i}", "a") for i in range(300)] + [("w0 x0 line0", "a")] * 100
+    rows += [(f"v{i} y{i % 5}", "b") for i in range(9)] + [("z z", None), (None, "a"), ("", "b")]
+    docs = spark.createDataFrame(rows, "text string, lang string").withColumn("h", F.xxhash64("text"))
+    every = sorted({(r["lang"], r["h"], r["text"]) for r in docs.collect() if r["lang"] and r["text"]})
+    for n in (1, 20, 1000):
+        chosen = [r[2::-2] for lang in "ab" for r in [x for x in every if x[0] == lang][:n]]
+        wanted = language_id.fit(spark.createDataFrame(chosen, "text string, lang string"), 10 ** 6)
+        assert language_id.fit(docs, n) == wanted and set(wanted) == {"a", "b"}
