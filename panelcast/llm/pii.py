@@ -5,7 +5,8 @@ Base entities are seeds.  The two words before a seed form a lexical pattern;
 other identifier-shaped tokens after the same words are instances of it.
 Spark scores the graph of patterns and instances in rounds (a pattern by the
 mean score of its distinct instances, an instance by the patterns it is found
-with), and tokens found by patterns of high confidence are reported as ``id``.
+with).  Instances that a pattern of high confidence finds are seeds of the next
+round, and tokens found by such patterns in the end are reported as ``id``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS = 3
 MIN_SEEDS = 3            # distinct seed instances that a pattern needs
 MIN_PATTERN = 0.8        # confidence of patterns that extract
+SEED_PATTERN = 0.8       # confidence of patterns whose instances become seeds
 MIN_LENGTH = 6           # characters of an identifier-shaped token
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -134,23 +136,29 @@ def analyse(docs: DataFrame) -> DataFrame:
     return map_rows(d, schema, run)
 
 
-def score_patterns(mentions: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
+def score_patterns(mentions: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
+                   seed_pattern: float = SEED_PATTERN) -> DataFrame:
     """(p, conf) of patterns with at least ``min_seeds`` distinct seeds, from
-    mention rows (p, i, k).  Every edge of the graph counts once, however many
-    copies of a document hold it."""
-    edges = durable(mentions.groupBy("p", "i").agg((F.max("k") >= 0).alias("seed")), "pii-edges")
-    score = edges.groupBy("i").agg(F.max(F.col("seed").cast("double")).alias("s"))
+    mention rows (p, i, k).  Seeds are the base entities and, from the second
+    round on, the instances that a pattern of confidence ``seed_pattern``
+    found; many weak patterns make no seed, or any common number would become
+    one.  Every edge of the graph counts once, however many copies of a
+    document hold it."""
+    edges = durable(mentions.groupBy("p", "i").agg((F.max("k") >= 0).alias("base")), "pii-edges")
+    score = edges.groupBy("i").agg(F.max("base").alias("seed")).withColumn("s", F.col("seed").cast("double"))
     for r in range(rounds):
         pattern = (edges.join(score, "i").groupBy("p")
-                   .agg((F.sum("s") / (F.count("*") + 0.5)).alias("conf"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+                   .agg((F.sum("s") / (F.count("*") + 0.5)).alias("conf"), F.count_if("seed").alias("seeds"))
                    .where(F.col("seeds") >= min_seeds).select("p", "conf"))
         pattern = durable(pattern, "pii-patterns")
         if r == rounds - 1:
             return pattern
-        # Noisy or over the patterns; a seed stays certain.
+        # Noisy or over the patterns; a base entity stays certain.
         reach = edges.join(pattern, "p", "left").groupBy("i").agg(
-            F.max("seed").alias("seed"), F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.coalesce("conf", F.lit(0.0))))).alias("l"))
-        score = reach.select("i", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("l")).alias("s"))
+            F.max("base").alias("base"), F.coalesce(F.max("conf"), F.lit(0.0)).alias("best"),
+            F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.coalesce("conf", F.lit(0.0))))).alias("l"))
+        score = reach.select("i", (F.col("base") | (F.col("best") >= seed_pattern)).alias("seed"),
+                             F.when(F.col("base"), 1.0).otherwise(1 - F.exp("l")).alias("s"))
     return pattern
 
 

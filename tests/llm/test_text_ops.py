@@ -144,6 +144,25 @@ def test_pii_bootstrap_finds_unseen_identifiers(spark):
     assert pii.report(edge.documents(spark)).count() == edge.documents(spark).count()
 
 
+def test_pii_discovered_instances_are_seeds(spark):
+    rng = random.Random(5)
+    staff = [f"ID-77{i}-4{i}1" for i in range(12)]
+    rows = [(i, f"{edge.words(rng, 9)} reach me at user{i}@mail.example {edge.words(rng, 4)}") for i in range(40)]
+    rows += [(100 + i, f"{edge.words(rng, 9)} reach me at {x} {edge.words(rng, 4)}") for i, x in enumerate(staff)]
+    rows += [(200 + i, f"{edge.words(rng, 9)} employee no {x} {edge.words(rng, 4)}") for i, x in enumerate(staff)]
+    rows += [(300, f"{edge.words(rng, 9)} employee no ZZ-9041-7 {edge.words(rng, 4)}")]
+    # Few of a common context's instances are seeds: it stays out.
+    rows += [(400 + i, f"{edge.words(rng, 9)} order nr {x} {edge.words(rng, 4)}")
+             for i, x in enumerate(staff[:4] + [f"PN-{j}55{j}" for j in range(40)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    text = dict(rows)
+    for i, x in [*((200 + i, x) for i, x in enumerate(staff)), (300, "ZZ-9041-7")]:
+        s = text[i].index(x)
+        assert got[i] == f"id:{s}:{s + len(x)}"
+    assert not any(got[i] for i in text if i >= 400)
+
+
 def test_language_id_held_out(spark):
     src = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language_id.fit(src.where("doc_id % 4 != 2").select("text", "lang"))
