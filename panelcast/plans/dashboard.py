@@ -1,4 +1,4 @@
-"""Dashboard summary (C8 / Q13 / S22): latest price, 30-row change and
+"""Dashboard summary (Q13; of C8 without A6 and S14, of S22 without the sink): latest price, 30-row change and
 volatility, 7-row trend and the classification signals, one row per entity."""
 
 from __future__ import annotations

@@ -171,7 +171,7 @@ def f20_f21_changes(spark, sf_dir):
                     N.round2(pct * nudge).alias("change_pct"), L.direction_class(pct).alias("direction"))
 
 
-@register("f23_f25_dashboard_classes", ("F23", "F25", "A5", "A8", "Q13", "C8", "S22"), f"""
+@register("f23_f25_dashboard_classes", ("F23", "F25", "A5", "A8", "Q13"), f"""
 WITH g AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold FROM orders GROUP BY 1, 2),
 t AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY date DESC) AS rn FROM g),
 t30 AS (SELECT o_orderpriority, arg_max(gold, date) AS cur, arg_min(gold, date) AS first,

@@ -169,7 +169,7 @@ def m1_m2_linear_fit(spark, sf_dir):
         "_a", "alpha")
 
 
-@register("m7_train_compare", ("M7", "M8", "M1", "M2", "M3", "W17", "W18", "A15", "K5", "C5"))
+@register("m7_train_compare", ("M7", "M1", "M2", "M3", "W17", "W18", "A15", "K5"))
 def m7_train_compare(spark, sf_dir):
     """Linear, ridge and lasso per priority (each with 5-fold contiguous CV)
     on a chronological 80/20 split; comparison table."""
@@ -194,7 +194,7 @@ register("m6_boosting_300", ("M6",))(_tree_query("xgb"))
 register("m6_boosting_500", ("M6",))(_tree_query("lgb"))
 
 
-@register("m8_best_model", ("M8", "K5"))
+@register("m8_best_model", ("K5",))
 def m8_best_model(spark, sf_dir):
     cmp = CMP.train_compare(panel_store(spark, sf_dir), FEATURES, LABEL, ("linear", "ridge"), ModelConfig(), E)
     return CMP.best_models(cmp, E)
@@ -210,7 +210,7 @@ _PER = ("covar_pop(x, gold_next) * count(*) AS sxy, covar_pop(x, x) * count(*) A
         "avg(gold_next) AS my")
 
 
-@register("m9_grid_search_single", ("M9", "M8", "W17", "W18", "A15"), f"""
+@register("m9_grid_search_single", ("M9", "W17", "W18", "A15"), f"""
 WITH {_SINGLE[5:].split(',\nc AS')[0]},
 d AS (SELECT *, gold / 10000.0 AS x FROM n WHERE gold_next IS NOT NULL),
 s AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY date) AS rn,
@@ -270,7 +270,7 @@ def a25_forecast_outlook(spark, sf_dir):
     return avg.withColumn("outlook", outlook_class("avg_change_pct"))
 
 
-@register("m12_one_step", ("M12", "K6", "F17", "S21"))
+@register("m12_one_step", ("M12", "K6", "F17"))
 def m12_one_step(spark, sf_dir):
     latest, model = _forecast_inputs(spark, sf_dir)
     return FC.one_step(latest, model, FEATURES, "gold", ForecastConfig(entity=E))

@@ -201,7 +201,7 @@ SELECT o_orderpriority, data_points, start, "end", {R('current_7d', 6)} AS curre
 FROM k"""
 
 
-@register("q11_monitoring_report", ("Q11", "W12", "W13", "W14", "A7", "A9", "A22", "F26", "F27", "F28", "F29", "C7"),
+@register("q11_monitoring_report", ("Q11", "W12", "W13", "W14", "A7", "A9", "A22", "F26", "F27", "F28", "F29"),
           _REPORT_SQL)
 def q11_monitoring_report(spark, sf_dir):
     rep = monitoring_report(predictions(spark, sf_dir), MonitorConfig(), E)
@@ -281,7 +281,7 @@ def j4_asof_join(spark, sf_dir):
     return round_doubles(asof_join(o, s, ["set"]))
 
 
-@register("j5_actual_vs_predicted", ("J5", "M19"), f"""
+@register("j5_actual_vs_predicted", ("J5",), f"""
 WITH {PRED}, {GOLD.replace('gold AS', 'g2 AS')}
 SELECT g2.o_orderpriority, g2.date, {R('g2.gold')} AS actual, {R('p.predicted')} AS predicted
 FROM g2 LEFT JOIN p ON g2.o_orderpriority = p.o_orderpriority AND g2.date = p.date""")

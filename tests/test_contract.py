@@ -46,3 +46,9 @@ def test_query_matches_oracle(spark, name):
     s_rows = sorted(repr([_norm(r[c]) for c in order]) for r in sdf.collect())
     d_rows = sorted(repr([_norm(row[dcols.index(c)]) for c in order]) for row in cur.fetchall())
     assert s_rows == d_rows
+
+
+def test_parts_not_built_carry_no_tag():
+    from panelcast.plans.registry import load_all
+    tags = {op for q in load_all().values() for op in q.ops}
+    assert not tags & {"S21", "S22", "M8", "M19", "C5", "C7", "C8"}
