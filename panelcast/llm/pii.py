@@ -12,6 +12,7 @@ round, and tokens found by such patterns in the end are reported as ``id``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,6 +26,7 @@ MIN_SEEDS = 3            # distinct seed instances that a pattern needs
 MIN_PATTERN = 0.8        # confidence of patterns that extract
 SEED_PATTERN = 0.8       # confidence of patterns whose instances become seeds
 MIN_LENGTH = 6           # characters of an identifier-shaped token
+MAX_LENGTH = 200         # ... and the most; longer runs are cut at all marks
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,6 +36,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]")
 _TOKEN = re.compile(r"\S+")
 _EDGES = "\"'`.,;:!?()[]{}<>|*#&%$"
+_PIECE = re.compile(f"[^{re.escape(_EDGES)}=/\x80-\U0010ffff]+")      # also of scripts without blanks
+_LETTERS = re.compile(r"\w+")
 
 
 def _emails(text: str):
@@ -82,6 +86,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _tokens(text: str, s: int, e: int):
+    """(start, end) of what may be identifiers in a run without white space:
+    the part after the last '=' without the marks around it and, if the run is
+    long, also the ASCII pieces between marks of all that is not in that part."""
+    token = text[s:e].rstrip(_EDGES + "=")
+    cut = token.rfind("=") + 1
+    tail = token[cut:].lstrip(_EDGES)
+    at = s + len(token) - len(tail)
+    whole = len(tail) <= MAX_LENGTH
+    if e - s > MAX_LENGTH:
+        for m in _PIECE.finditer(text, s, at if whole else s + len(token)):
+            if m.end() - m.start() <= MAX_LENGTH:
+                yield m.span()
+    if whole:
+        yield at, at + len(tail)
+
+
+def _word(text: str, s: int, e: int, end: int) -> str:
+    """The context word of the run (s, e) up to ``end``; of a long run, the
+    letters and digits after its last mark."""
+    w = text[max(s, end - MAX_LENGTH):end].lower()
+    if e - s > MAX_LENGTH:
+        return ([""] + _LETTERS.findall(w))[-1]
+    return w.strip(_EDGES)
+
+
 def _mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """(pattern, instance hash, kind or -1, start, end) of the base spans and
     of identifier-shaped tokens beside them."""
@@ -93,25 +123,22 @@ def _mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
         out.append((s, e, k))
     taken.sort()
     i = 0
-    for m in _TOKEN.finditer(text):
-        s, e = m.span()
-        if e - s < MIN_LENGTH or e - s > 200:
-            continue
-        token = m.group()
-        while token and token[-1] in _EDGES + "=":
-            token, e = token[:-1], e - 1
-        cut = token.rfind("=") + 1
-        lead = len(token[cut:]) - len(token[cut:].lstrip(_EDGES))
-        s, token = s + cut + lead, token[cut + lead:]
-        if len(token) < MIN_LENGTH or sum(map(str.isdigit, token)) < 2:
+    runs = [m.span() for m in _TOKEN.finditer(text)]
+    for run in runs:
+        if run[1] - run[0] < MIN_LENGTH:
             continue
-        while i < len(taken) and taken[i][1] <= s:
-            i += 1
-        if not any(a < e and s < b for a, b in taken[i:i + 4]):
-            out.append((s, e, -1))
+        for s, e in _tokens(text, *run):
+            if e - s < MIN_LENGTH or sum(map(str.isdigit, text[s:e])) < 2:
+                continue
+            while i < len(taken) and taken[i][1] <= s:
+                i += 1
+            if not any(a < e and s < b for a, b in taken[i:i + 4]):
+                out.append((s, e, -1))
     rows = []
+    starts = [a for a, _ in runs]
     for s, e, k in out:
-        before = [w.strip(_EDGES) for w in text[max(0, s - 80):s].lower().split()[-2:]]
+        j = bisect_left(starts, s)                           # runs that begin before
+        before = [_word(text, a, b, min(b, s)) for a, b in runs[max(0, j - 2):j]]
         if len(before) == 2 and all(before):
             rows.append((" ".join(before), xxhash.xxh64_intdigest(text[s:e].lower()) - (1 << 63), k, s, e))
     return rows

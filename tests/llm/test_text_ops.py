@@ -163,6 +163,21 @@ def test_pii_discovered_instances_are_seeds(spark):
     assert not any(got[i] for i in text if i >= 400)
 
 
+def test_pii_tokens_of_long_runs_and_long_context():
+    def found(text):
+        return [(p, text[s:e]) for p, _, _, s, e in pii._mentions(text, pii.base_spans(text))]
+    run = "https://host.example/" + "a/b" * 80
+    assert found(f"see page {run}?staff=ID-771-401, then") == [("page staff", "ID-771-401")]
+    assert found(f"see page {run}?staff=ID-771-401&name=x") == [("page staff", "ID-771-401")]
+    assert found(f"see page {run}?id=PN-55-1!") == [("page id", "PN-55-1")]
+    assert found("ab" * 50 + " " + "cd" * 50 + " ID-771-401") == [("ab" * 50 + " " + "cd" * 50, "ID-771-401")]
+    assert found("a staff no ID-771-401.") == [("staff no", "ID-771-401")]
+    assert found("me at user=ID-771-401;") == [("at user=", "ID-771-401")]
+    assert found("x y " + "k=AB1234&" * 50_000) == [("y k", "AB1234")] * 50_000        # linear time
+    assert found("x y " + "\u6587" * 150 + "\uff0c\u7f16\u53f7ID-771-401" + "\u6587" * 150) == [("y \u7f16\u53f7", "ID-771-401")]
+    assert found("x" * 300_000 + "11") == []
+
+
 def test_language_id_held_out(spark):
     src = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language_id.fit(src.where("doc_id % 4 != 2").select("text", "lang"))
