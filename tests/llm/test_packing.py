@@ -78,3 +78,14 @@ def test_least_squares_uses_no_length_too_often():
     used = np.bincount(combos[combos > 0], np.repeat(counts, (combos > 0).sum(1)), minlength=65)
     assert (used <= hist).all() and counts.sum() * 64 > 0.5 * (hist * np.arange(65)).sum()
     assert len(packing.solve(hist * 0.0, combos[:0])) == 0
+
+
+def test_every_combination_is_offered():
+    hist = np.ones(2048, np.int64)
+    hist[0] = 0
+    combos = packing.combinations(hist, 2048)
+    triples = {tuple(x) for x in combos.tolist() if x[2]}
+    assert triples == {(2048 - b - c, b, c) for b in range(1, 1024) for c in range(1, b + 1) if 2048 - b - c >= b}
+    counts = packing.rounded(hist, combos, packing.solve(hist, combos))
+    used = np.bincount(combos.ravel(), np.repeat(counts, 3), minlength=2048)[1:]
+    assert (used <= hist[1:]).all()
