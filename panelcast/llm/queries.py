@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, lm, near_dup, packing, pii, quality, repeats, warc
+from . import bpe, fingerprints, language_id, licenses, lm, near_dup, packing, pii, quality, repeats, warc, whiten
 from .common import read_table
 
 QUERIES: dict = {}
@@ -78,3 +78,16 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lm.score(docs.select("doc_id", "text", (~held_out).alias("train")))
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                       "base_score", "score")
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_license_scan"] = licenses.scan_sql()
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.report(read_table(spark, sf_dir, "embeddings"))
