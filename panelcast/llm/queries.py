@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, licenses, lm, near_dup, packing, pii, quality, repeats, warc, whiten
+from . import bpe, fingerprints, language_id, licenses, lm, near_dup, packing, pii, prefix_trie, quality, repeats, warc, whiten
 from .common import read_table
 
 QUERIES: dict = {}
@@ -91,3 +91,8 @@ SQL["op12_license_scan"] = licenses.scan_sql()
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.report(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
