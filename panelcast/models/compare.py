@@ -9,7 +9,9 @@ pooled.  The result is the comparison table sorted by MAE.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,24 +47,46 @@ def train_compare(df: DataFrame, features: Sequence[str], label: str, models: Se
     """M7 + M8: one row per (entity, model) with test metrics and CV
     mean / population std of the fold MAEs, ranked by MAE."""
     data = prepare(df, features, label, cfg, entity, time).cache()
+    return compare(data, fit_all(data, features, label, models, cfg, entity), features, label, entity)
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """``linear``: (entity..., fold, model, intercept, coef) of the per-entity
+    models, see ``linear.fit_with_folds``; ``pooled``: MLlib pipelines by name."""
+    linear: DataFrame | None
+    pooled: dict[str, PipelineModel]
+
+    def coefficients(self) -> DataFrame:
+        return self.linear.where(F.col("fold") == LIN.ALL_FOLDS).drop("fold")
+
+
+def fit_all(data: DataFrame, features: Sequence[str], label: str, models: Sequence[str], cfg: ModelConfig,
+            entity: Sequence[str]) -> Fitted:
+    """All models fitted on the train part of ``prepare``'s rows: the linear
+    ones and their folds from one statistics pass (kept by a checkpoint, since
+    scoring and validation both read them)."""
+    train = data.filter(F.col("split") == "train")
+    specs = {m: (LINEAR_KINDS[m][0], _alpha(cfg, LINEAR_KINDS[m][1])) for m in models if m in LINEAR_KINDS}
+    linear = LIN.fit_with_folds(train, features, label, "fold", entity, specs).checkpoint() if specs else None
+    return Fitted(linear, {m: ML.fit(train, features, label, "lasso" if m == "lasso_pooled" else m, cfg.seed)
+                           for m in models if m not in LINEAR_KINDS})
+
+
+def compare(data: DataFrame, fitted: Fitted, features: Sequence[str], label: str, entity: Sequence[str] = ()) -> DataFrame:
+    """Comparison table of fitted models: test metrics, CV and rank by MAE."""
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     out, cvs = [], []
-    specs = {m: (LINEAR_KINDS[m][0], _alpha(cfg, LINEAR_KINDS[m][1])) for m in models if m in LINEAR_KINDS}
-    if specs:
-        # all per-entity linear models from one statistics pass, one
-        # scoring join, and one CV pass
-        fitted = LIN.fit_models(train, features, label, entity, specs)
-        scored = test.join(fitted, list(entity)) if entity else _attach_all(test, fitted)
+    if fitted.linear is not None:
+        coefs = fitted.coefficients()
+        scored = test.join(coefs, list(entity)) if entity else _attach_all(test, coefs)
         scored = scored.withColumn("prediction", LIN.predict_expr(features)).drop("intercept", "coef")
         m = regression_metrics(scored.withColumnRenamed(label, "actual"), "actual", "prediction", [*entity, "model"])
         out.append(m)
-        cvs.append(LIN.cross_validate_models(train, features, label, "fold", entity, specs))
-    for m in models:
-        if m not in LINEAR_KINDS:
-            kind = "lasso" if m == "lasso_pooled" else m
-            model = ML.fit(train, features, label, kind, cfg.seed)
-            out.append(_metrics(ML.predict(model, test), label, m, entity))
+        cvs.append(LIN.fold_errors(train, fitted.linear, features, label, "fold", entity))
+    for m, model in fitted.pooled.items():
+        out.append(_metrics(ML.predict(model, test), label, m, entity))
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
@@ -83,6 +107,24 @@ def _attach_all(rows: DataFrame, models: DataFrame) -> DataFrame:
     return rows.withColumn("_one", F.lit(0)).join(F.broadcast(models.withColumn("_one", F.lit(0))), "_one").drop("_one")
 
 
+def wide_predictions(data: DataFrame, fitted: Fitted, features: Sequence[str], label: str, models: Sequence[str],
+                     entity: Sequence[str] = (), time: str = "date") -> DataFrame:
+    """``(entity..., time, actual, <one column for each model>)`` of the
+    test part.  The linear models of an entity come as one map, joined once;
+    pooled models are one ``transform`` each, without a join."""
+    d = data.filter(F.col("split") == "test")
+    if fitted.linear is not None:
+        by_name = F.map_from_entries(F.collect_list(F.struct("model", F.struct("intercept", "coef"))))
+        d = attach_stats(d, fitted.coefficients().groupBy(*entity).agg(by_name.alias("_models")), entity)
+    for m in models:
+        if m in fitted.pooled:
+            d = ML.predict(fitted.pooled[m], d, m)
+        else:
+            one = F.col("_models")[m]
+            d = d.withColumn(m, sum((one["coef"][i] * F.col(f) for i, f in enumerate(features)), one["intercept"]))
+    return d.select(*entity, time, F.col(label).alias("actual"), *models)
+
+
 def best_models(comparison: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
     """M8: the argmin-MAE model per entity (``min_by``)."""
     return comparison.groupBy(*entity).agg(F.min_by("model", F.struct("mae", "model")).alias("best_model"),

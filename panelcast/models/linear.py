@@ -251,6 +251,45 @@ def fit_models(df: DataFrame, features: Sequence[str], label: str, entity: Seque
     return keyed.groupBy(*(entity or ["_one"])).applyInPandas(fit, _specs_schema(parts, entity))
 
 
+ALL_FOLDS = -1
+
+
+def fit_with_folds(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold", entity: Sequence[str] = (),
+                   specs: dict[str, tuple[str, float]] | None = None) -> DataFrame:
+    """``fit_models`` and the models of all folds but one, from ONE statistics
+    pass: ``(entity..., fold, model, intercept, coef)``, with fold
+    ``ALL_FOLDS`` for the fit on all rows (the merge of the folds)."""
+    specs = specs or {"linear": ("l2", 0.0)}
+    nf, entity = len(features), list(entity)
+    parts = partial_stats(df.dropna(subset=[*features, label, fold]), features, label, [*entity, fold])
+    keyed = parts if entity else parts.withColumn("_one", F.lit(0))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = [pdf.iloc[0][c] for c in entity]
+        by_fold = {f: _merge([np.asarray(s) for s in g["stats"]], nf) for f, g in pdf.groupby(fold)}
+        rows = []
+        for f in [ALL_FOLDS, *by_fold]:
+            used = [s for g, s in by_fold.items() if g != f]
+            if used:
+                train = _merge(used, nf)
+                for name, (penalty, a) in specs.items():
+                    b, w = _solve(train, nf, float(a), penalty)
+                    rows.append([*key, f, name, b, w.tolist()])
+        return pd.DataFrame(rows, columns=[*entity, fold, "model", "intercept", "coef"])
+
+    return keyed.groupBy(*(entity or ["_one"])).applyInPandas(fit, _specs_schema(parts, [*entity, fold]))
+
+
+def fold_errors(df: DataFrame, models: DataFrame, features: Sequence[str], label: str, fold: str = "fold",
+                entity: Sequence[str] = ()) -> DataFrame:
+    """``(entity..., model, cv_mae, cv_std)``: the held-out rows scored by the
+    models of ``fit_with_folds`` in one pass."""
+    scored = df.dropna(subset=[*features, label, fold]).join(models, [*entity, fold])
+    err = F.abs(F.col(label) - predict_expr(features))
+    fold_mae = scored.groupBy(*entity, "model", fold).agg(F.avg(err).alias("mae"))
+    return fold_mae.groupBy(*entity, "model").agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
+
+
 def cross_validate_models(df: DataFrame, features: Sequence[str], label: str, fold: str = "fold",
                           entity: Sequence[str] = (), specs: dict[str, tuple[str, float]] | None = None
                           ) -> DataFrame:

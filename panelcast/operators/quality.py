@@ -96,6 +96,21 @@ def monotonic_rule(df: DataFrame, time: str, seq: str, entity: Sequence[str] = (
     return evaluate(checks, [Rule("monotonic", bad == 0, bad.cast("string"))])
 
 
+def loose_validation(df: DataFrame, required: Sequence[str], as_of, time: str = "date", max_age_days: int = 7) -> DataFrame:
+    """Q2: one row for the required columns (FAIL with the missing names), one
+    for each required column that is there (WARN with its NULL count) and one
+    for the age of the newest row at ``as_of`` (WARN beyond ``max_age_days``;
+    an empty table is stale).  One aggregate over the table."""
+    here = [c for c in required if c in df.columns]
+    missing = [c for c in required if c not in df.columns]
+    nulls = {c: F.count_if(F.col(c).isNull()) for c in here}
+    rules = [Rule(f"nulls_{c}", n == 0, n.cast("string"), WARN) for c, n in nulls.items()]
+    if time in here:
+        age = F.datediff(F.lit(as_of).cast("date"), F.max(time))
+        rules.append(Rule("freshness", age <= max_age_days, age.cast("string"), WARN))
+    return evaluate(df, rules, [("required_columns", not missing, FAIL, ",".join(missing))])
+
+
 def readiness(df: DataFrame, features: Sequence[str], null_warn_pct: float = 50.0) -> DataFrame:
     """Q6: per expected feature - MISSING (no column), ALL_NULL, HIGH_NULL
     (more than ``null_warn_pct`` % NULL) or OK, with the NULL percent."""

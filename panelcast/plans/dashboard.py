@@ -1,5 +1,6 @@
-"""Dashboard summary (Q13; of C8 without A6 and S14, of S22 without the sink): latest price, 30-row change and
-volatility, 7-row trend and the classification signals, one row per entity."""
+"""Dashboard (C8): the summary of Q13 (latest price, 30-row change and
+volatility, 7-row trend and the classification signals, one row per entity),
+correlations (A6), the newest forecast (S14), and their export (S22)."""
 
 from __future__ import annotations
 
@@ -9,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..operators.stats import tail_mean_pct_change, trailing_metrics
+from ..operators.stats import tail_correlations, tail_mean_pct_change, trailing_metrics
+from ..sources.files import latest_snapshot_rows
+from ..sources.versions import VersionedStore
 
 
 def dashboard_summary(series: DataFrame, value: str, entity: Sequence[str] = (), time: str = "date",
@@ -32,3 +35,19 @@ def dashboard_summary(series: DataFrame, value: str, entity: Sequence[str] = (),
         L.trend_class("avg_change_pct").alias("trend_7d"),
         L.volatility_class("volatility").alias("volatility_class"),
         L.outlook_class("avg_change_pct").alias("outlook"))
+
+
+def dashboard(series: DataFrame, value: str, joined: DataFrame, others: Sequence[str], forecasts: DataFrame,
+              entity: Sequence[str] = (), time: str = "date", rows: int = 180) -> dict[str, DataFrame]:
+    """``summary`` of ``series``; ``correlations`` of ``value`` with
+    ``others`` over the last ``rows`` rows of ``joined``; ``forecast``: the rows
+    of the newest of the forecast snapshots in ``forecasts`` (a scan read with
+    ``with_file=True``)."""
+    return {"summary": dashboard_summary(series, value, entity, time),
+            "correlations": tail_correlations(joined, value, others, rows, time=time),
+            "forecast": latest_snapshot_rows(forecasts, by="mtime").drop("_file_name", "_file_mtime")}
+
+
+def export_dashboard(sink: VersionedStore, tables: dict[str, DataFrame], run: str) -> int:
+    """All tables of a dashboard in one commit; a rerun replaces itself."""
+    return sink.commit(tables, run=run, info={"run": run})

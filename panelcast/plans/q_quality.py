@@ -62,7 +62,7 @@ def q1_feature_store_validation(spark, sf_dir):
     return data.unionByName(QL.monotonic_rule(orders, "o_orderdate", "o_orderkey", ["o_orderpriority"]))
 
 
-@register("q2_q6_readiness", ("Q2", "Q6", "A10", "P4", "P5"), f"""
+@register("q2_q6_readiness", ("P4", "P5"), f"""
 WITH g AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold FROM orders GROUP BY 1),
 s AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_extendedprice) AS "set" FROM lineitem
       WHERE l_returnflag = 'R' GROUP BY 1),

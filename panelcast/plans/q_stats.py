@@ -141,7 +141,7 @@ def a9_tail_variance(spark, sf_dir):
     return round_doubles(S.tail_variance(gold_series(spark, sf_dir), "gold", 10, E), 2)
 
 
-@register("a10_null_report", ("A10", "J2"), """
+@register("a10_null_report", ("J2",), """
 WITH g AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS gold FROM orders
            WHERE o_orderstatus = 'F' GROUP BY 1),
 s AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_extendedprice) AS "set" FROM lineitem

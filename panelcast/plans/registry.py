@@ -38,5 +38,5 @@ def register(name: str, ops: tuple[str, ...] | str = (), sql: str | None = None)
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from . import (q_features, q_stats, q_windows, q_functions, q_sources,  # noqa: F401
-                   q_quality, q_models, q_streaming)
+                   q_quality, q_models, q_streaming, q_stores)
     return REGISTRY

@@ -7,8 +7,10 @@ queries.
   under ``epoch=<batch id>`` (overwrite, so a replayed batch is idempotent);
   readers keep the last delivery per key.  ``dropDuplicatesWithinWatermark``
   keeps the *first* copy, which is not the reference's keep-last.
-* T5 ``history_sink``: one monitoring row per micro-batch, appended; readers
-  keep the newest ``n``.
+  ``merged_sink`` writes the same deliveries into a ``MergedTable``, whose
+  reads and compactions grow with the deltas, not with the history.
+* T5 ``history_sink``: one monitoring row per micro-batch; epochs beyond the
+  newest ``keep`` are dropped from the store.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe
+from ..sources.merge import MergedTable
+from ..sources.versions import retain_epochs
 
 
 def typed_ticks(raw: DataFrame, payload: str, schema: str, required: Sequence[str],
@@ -46,13 +50,25 @@ def read_merged(spark: SparkSession, path: str, key, order: Sequence[str]) -> Da
     return dedupe(allb, key, ["_epoch", *order], keep="last").drop("_epoch")
 
 
-def history_sink(path: str, value: str):
+def merged_sink(table: MergedTable, compact_every: int = 10):
+    """T4 foreachBatch writer into a keyed table; deltas are merged into their
+    buckets every ``compact_every`` epochs."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        table.write(batch, epoch_id)
+        if len(table.pending()) >= compact_every:
+            table.compact()
+    return write
+
+
+def history_sink(path: str, value: str, keep: int = 100):
     """T5 foreachBatch writer: one report row per micro-batch, in a folder of
-    its epoch, so a replayed epoch replaces its row."""
+    its epoch, so a replayed epoch replaces its row; only the newest ``keep``
+    epochs stay stored."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         rep = batch.agg(F.count(F.lit(1)).alias("rows"), F.avg(value).alias("mean_value"),
                         F.max("ts").alias("max_ts")).withColumn("batch_id", F.lit(epoch_id))
         rep.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+        retain_epochs(batch.sparkSession, path, keep)
     return write
 
 
