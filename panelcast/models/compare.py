@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..config import ModelConfig
 from ..operators.split import split_and_folds
 from ..operators.stats import attach_stats, regression_metrics
+from . import boosting as BO
 from . import linear as LIN
 from . import mllib as ML
+from .boosting import Boosted, BoostConfig
 
 # name -> (penalty, alpha attribute of ModelConfig or a fixed alpha)
 LINEAR_KINDS = {"linear": ("l2", 0.0), "ridge": ("l2", "ridge_alpha"), "lasso": ("l1", "lasso_alpha")}
@@ -61,6 +63,19 @@ class Fitted:
         return self.linear.where(F.col("fold") == LIN.ALL_FOLDS).drop("fold")
 
 
+def boosted_compare(data: DataFrame, features: Sequence[str], label: str, cfg: BoostConfig, name: str = "boosted",
+                    entity: Sequence[str] = (), time: str = "date") -> tuple[DataFrame, Boosted]:
+    """M6 + M7: the comparison row of a leaf-wise boosted model on ``prepare``'s
+    rows, ``cv_mae`` and ``cv_std`` from the fold models that grow beside it."""
+    train = data.filter(F.col("split") == "train")
+    model = BO.fit(train, features, label, cfg, fold="fold", row_id=[*entity, time])
+    m = _metrics(BO.predict(model, data.filter(F.col("split") == "test")), label, name, entity)
+    held_out = BO.predict(model, train, "_p", fold="fold")
+    fold_mae = held_out.groupBy(*entity, "fold").agg(F.avg(F.abs(F.col(label) - F.col("_p"))).alias("mae"))
+    cv = fold_mae.groupBy(*entity).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
+    return attach_stats(m, cv, entity).select(*entity, *METRIC_COLS), model
+
+
 def fit_all(data: DataFrame, features: Sequence[str], label: str, models: Sequence[str], cfg: ModelConfig,
             entity: Sequence[str]) -> Fitted:
     """All models fitted on the train part of ``prepare``'s rows: the linear
