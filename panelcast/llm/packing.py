@@ -32,9 +32,11 @@ CACHE_ENTRIES = 1_000_000      # words kept in each worker, some 180 MB
 _PID = 33                # monotonically_increasing_id: partition above, row below this bit
 
 
-# Letters whose lower case is one letter in any Unicode version, then a mark.
-_PLAIN = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xDE\xDF-\xF6\xF8-\xFF]+)([.,;:!?]?)")
-
+# Letters whose lower case is one letter in any Unicode version and which no normal form changes.
+_LETTERS = r"A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF"
+_MARKS = r"!-&(-/:-@\[-`{-~"                           # ASCII marks but the apostrophe, which may belong to letters
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS}]+")
+_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+")  # what the tokenizer takes apart in such a piece
 
 _WIDE = re.compile(r"[^\x00-\xFF]")
 _RUN = re.compile(r"[^A-Za-z0-9\xC0-\xD6\xD8-\xF6\xF8-\xFF ][.,]")      # maybe a mark that the stop or comma belongs to
@@ -60,17 +62,25 @@ class _Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
+        # Letters in the form that the tokenizer's model sees, for words that need no other step.
+        letters = [c for c in map(chr, [*range(97, 123), *range(0xDF, 0x100)]) if c != "\xF7"]
+        self.letters = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        m = _PLAIN.fullmatch(piece)
-        if m and (m.group(2) or not piece.islower()):
-            # The vocabulary has lower case only, and its words end before punctuation.
-            packed = self[m.group(1).lower()] + (self[m.group(2)] if m.group(2) else b"")
+        parts = _PARTS.findall(piece.lower()) if _PLAIN.fullmatch(piece) else ()
+        if len(parts) > 1:
+            packed = b"".join(map(self.__getitem__, parts))
+        elif parts and parts[0].isalpha():
+            word = parts[0] if parts[0].isascii() else parts[0].translate(self.letters)
+            packed = self.pack([t.id for t in self.model.tokenize(word)])
         else:
-            packed = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(piece) <= 64:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
+            packed = self.pack(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        # A full table stays: the words that came early are the frequent ones.
+        if len(piece) <= 64 and len(self) < CACHE_ENTRIES:
             self[piece] = packed
         return packed
 
