@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,11 +67,16 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of this name, dots and blanks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def bundled(docs: DataFrame, *own: str) -> DataFrame:
     """``docs`` with all columns but ``own`` in one struct _rest, so that their
     names can't clash with an operator's."""
     rest = [c for c in docs.columns if c not in own]
-    return docs.select(*own, F.struct(*rest).alias("_rest")) if rest else docs.select(*own)
+    return docs.select(*own, F.struct(*map(quoted, rest)).alias("_rest")) if rest else docs.select(*own)
 
 
 def unbundled(df: DataFrame, columns: list[str], *own: str) -> DataFrame:

@@ -17,8 +17,9 @@ from bisect import bisect_left
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import durable, map_rows, texts
+from .common import bundled, durable, map_rows, quoted, texts, unbundled
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS = 3
@@ -148,9 +149,9 @@ def analyse(docs: DataFrame) -> DataFrame:
     """``docs`` with _rid, _base (spans) and _mentions of the column text."""
     extra = docs.columns
     d = docs.withColumn("_rid", F.monotonically_increasing_id())
-    spans = "array<struct<s:int,k:int,e:int>>"
-    mentions = "array<struct<p:string,i:bigint,k:int,s:int,e:int>>"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema) + f", _base {spans}, _mentions {mentions}"
+    added = docs.sparkSession.createDataFrame([], "_base array<struct<s:int,k:int,e:int>>, "
+                                              "_mentions array<struct<p:string,i:bigint,k:int,s:int,e:int>>").schema
+    schema = StructType(d.schema.fields + added.fields)
 
     def run(b):
         base, near = [], []
@@ -189,11 +190,19 @@ def score_patterns(mentions: DataFrame, rounds: int = ROUNDS, min_seeds: int = M
     return pattern
 
 
-def extract(docs: DataFrame, min_pattern: float = MIN_PATTERN, min_seeds: int = MIN_SEEDS,
-            rounds: int = ROUNDS) -> DataFrame:
+def extract(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with _base and _spans: (start, kind, end) structs of the base
     entities and of all entities.  Null texts hold none; repeated rows give
-    repeated rows and count once as evidence."""
+    repeated rows and count once as evidence.  Columns of any name may stand
+    beside the text; those named _base and _spans are replaced.  An
+    identifier-shaped token has 6 to 200 characters, two digits among them."""
+    kept = [c for c in docs.columns if c not in ("_base", "_spans")]
+    out = _extract(bundled(docs.select(*map(quoted, kept)), "text"), **options)
+    return out.select(*[F.col(c) if c == "text" else F.col("_rest")[c].alias(c) for c in kept], "_base", "_spans")
+
+
+def _extract(docs: DataFrame, min_pattern: float = MIN_PATTERN, min_seeds: int = MIN_SEEDS,
+             rounds: int = ROUNDS) -> DataFrame:
     d = durable(analyse(docs), "pii")
     m = d.select("_rid", F.explode("_mentions").alias("m")).select("_rid", "m.*")
     high = score_patterns(m.select("p", "i", "k"), rounds, min_seeds).where(F.col("conf") >= min_pattern)
@@ -219,8 +228,9 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 def redact(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each span of the text replaced by its kind in brackets;
-    overlapping spans become one."""
-    d, columns = extract(docs, **options), docs.columns
+    overlapping spans become one.  Columns of any name may stand beside the text."""
+    own = bundled(docs, "text")
+    d, columns = _extract(own, **options), own.columns
 
     def run(b):
         out = []
@@ -235,5 +245,4 @@ def redact(docs: DataFrame, **options) -> DataFrame:
             out.append(t)
         return {**{c: b.column(c) for c in columns}, "text": out}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_rows(d.drop("_base"), schema, run)
+    return unbundled(map_rows(d.drop("_base"), own.schema, run), docs.columns, "text")

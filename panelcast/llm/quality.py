@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, bundled, durable, unbundled
+from .common import SPACE, WORD, durable, quoted, unbundled
 
 MIN_DOCS = 20            # a line is boilerplate in more distinct documents of a host than this ...
 MIN_SHARE = 0.01         # ... and than this share of the host's distinct documents
@@ -73,7 +73,8 @@ def base_stats(docs: DataFrame) -> DataFrame:
 
 def _judged(docs: DataFrame, host: str, min_docs: int, min_share: float, keep_share: float, clean: bool) -> DataFrame:
     own = F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("_host")
-    d = (bundled(docs.select("*", own), "doc_id", "text", "_host") if clean else docs.select("doc_id", "text", own))
+    rest = [quoted(c) for c in docs.columns if clean and c not in ("doc_id", "text")]
+    d = docs.select("doc_id", "text", own, *([F.struct(*rest).alias("_rest")] if rest else []))
     d = base_stats(d)
     d = d.withColumn("_lines", F.transform("_l", lambda x: F.struct(
         _line_hash(x).alias("h"), F.length(x).alias("n")))).drop("_l")

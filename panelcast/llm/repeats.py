@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import bundled, durable, quoted, unbundled
 
 SPAN = 400
 GRAM = 64                # bytes of the grams that windows are assigned by
@@ -225,7 +225,16 @@ def find(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = H
     """``docs`` (any columns, text among them) with _spans: (a, b) structs of
     byte intervals of the text covered by strings of ``span`` bytes that also
     start elsewhere, overlapping and in any order; null if there are none.
-    Null texts are empty.  Equal rows are occurrences of their own."""
+    Null texts are empty.  Equal rows are occurrences of their own.  Columns of
+    any name may stand beside the text; one named _spans is replaced."""
+    kept = [c for c in docs.columns if c != "_spans"]
+    out = _find(bundled(docs.select(*map(quoted, kept)), "text"), span, gram, hot_bytes)
+    return out.select(*[F.col(c) if c == "text" else F.col("_rest")[c].alias(c) for c in kept], "_spans")
+
+
+def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
+    if gram < 8 or gram & (gram - 1) or gram > span:
+        raise ValueError("gram must be a power of two from 8 to the span")
     spark = docs.sparkSession
     columns = docs.columns
     d = durable(docs.withColumn("_rid", F.monotonically_increasing_id()), "repeats-docs")
@@ -314,11 +323,17 @@ def find(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = H
     return d.join(spans, "_rid", "left").select(*columns, "_spans")
 
 
-def _kept(data: bytes, spans: list | None) -> tuple[list[bytes], int, int]:
+def _kept(data: bytes, spans: list | None, min_words: int = 0, any_bytes: int = 0) -> tuple[list[bytes], int, int]:
+    """What is left of ``data``, bytes removed and runs removed; runs of fewer
+    than ``min_words`` words and ``any_bytes`` bytes stay."""
     if not spans:
         return [data], 0, 0
     x = np.array([(r["a"], r["b"]) for r in spans], np.int64)
     s, e = merged(x[:, 0], x[:, 1])
+    if min_words:
+        long = np.array([b - a >= any_bytes or len(data[a:b].split()) >= min_words
+                         for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+        s, e = s[long], e[long]
     pieces, at = [], 0
     for a, b in zip(s.tolist(), e.tolist(), strict=True):
         pieces.append(data[at:a])
@@ -350,17 +365,21 @@ def report(docs: DataFrame, **options) -> DataFrame:
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove(docs: DataFrame, **options) -> DataFrame:
+def remove(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = HOT_BYTES, min_words: int = 0,
+           any_bytes: int = SPAN) -> DataFrame:
     """``docs`` with the marked bytes cut out of the text; a character that is
-    cut in part goes."""
+    cut in part goes.  With ``min_words``, a marked run is cut only if it has
+    that many words or ``any_bytes`` bytes.  Columns of any name may stand
+    beside the text."""
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for t, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
-                out.append(b"".join(_kept(t.encode(), spans)[0]).decode(errors="ignore") if spans else t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.string()) if c == "text" else b.column(c) for c in columns], names=columns)
+                out.append(b"".join(_kept(t.encode(), spans, min_words, any_bytes)[0]).decode(errors="ignore") if spans else t)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "text" else b.column(c) for c in own], names=own)
 
-    return find(docs, **options).mapInArrow(run, docs.schema)
+    d = bundled(docs, "text")
+    own = d.columns
+    return unbundled(_find(d, span, gram, hot_bytes).mapInArrow(run, d.schema), columns, "text")

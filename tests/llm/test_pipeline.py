@@ -26,6 +26,10 @@ def _documents(spark, path):
     texts += [edge.words(rng, 200) + "\n" + footer for _ in range(30)]             # the footer goes
     texts += [footer + "\n" + edge.words(rng, 10) for _ in range(4)]                # too short
     texts += [edge.words(rng, 100) + " " + passage + " " + edge.words(rng, 90) for _ in range(3)]
+    # Passages of 51 to 60 words, short and long ones; shared runs of fewer words stay.
+    short = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4))) for _ in range(51))
+    for shared in (short, edge.words(rng, 55), edge.words(rng, 60), edge.words(rng, 40)):
+        texts += [edge.words(rng, 100) + " " + shared + " " + edge.words(rng, 90) for _ in range(3)]
     base = edge.words(rng, 300).split()
     for _ in range(5):
         base[rng.randrange(300)] = "other%d" % rng.randrange(999)
@@ -68,14 +72,17 @@ def _brute(rows):
     count = {}
     data = [(i, t.encode()) for i, t in docs]
     for _, x in data:
-        for k in range(len(x) - 399):
-            count[x[k:k + 400]] = count.get(x[k:k + 400], 0) + 1
+        for k in range(len(x) - 255):
+            count[x[k:k + 256]] = count.get(x[k:k + 256], 0) + 1
     out = {}
     for i, x in data:
         keep = np.ones(len(x), bool)
-        for k in range(len(x) - 399):
-            if count[x[k:k + 400]] > 1:
-                keep[k:k + 400] = False
+        for k in range(len(x) - 255):
+            if count[x[k:k + 256]] > 1:
+                keep[k:k + 256] = False
+        for m in re.finditer(b"\x00+", bytes(keep.astype(np.uint8))):       # a run of marked bytes
+            if m.end() - m.start() < 400 and len(x[m.start():m.end()].split()) < 50:
+                keep[m.start():m.end()] = True
         t = bytes(np.frombuffer(x, np.uint8)[keep]).decode()
         for s, k, e in reversed(_brute_spans(t)):
             t = t[:s] + f"[{pii.KINDS[k].upper()}]" + t[e:]
@@ -100,6 +107,21 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         assert all(p[3] == zlib.crc32(ids[p[0]:p[0] + p[1]].tobytes()) for p in own)
 
 
+def test_passages_of_over_fifty_words(spark, tmp_path):
+    rng = random.Random(8)
+    words = lambda n, a, b: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(a, b))) for _ in range(n))
+    shared = [words(51, 3, 6), words(54, 3, 7), words(60, 5, 12)]
+    few = words(30, 5, 9)
+    texts = [words(120, 2, 7) + " " + p + " " + words(110, 2, 7) for p in shared for _ in range(3)]
+    clean = [words(200, 2, 7) for _ in range(20)] + [words(100, 2, 7) + " " + few + " " + words(90, 2, 7) for _ in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + clean)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, str(tmp_path)).collect()}
+    assert len(got) == len(texts) + len(clean)
+    for i, t in enumerate(texts):
+        assert shared[i // 3] not in got[i] and len(got[i]) >= len(t) - len(shared[i // 3]) - 4
+    assert [got[len(texts) + i] for i in range(len(clean))] == clean
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     _documents(spark, str(tmp_path))
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
