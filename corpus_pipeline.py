@@ -40,7 +40,7 @@ def _sized(out: DataFrame) -> DataFrame:
 @_stage
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Rejected documents go, boilerplate lines are cut from the others."""
-    return _sized(quality.clean(docs)).select(*docs.columns)
+    return _sized(quality.clean(docs))
 
 
 @_stage
@@ -49,16 +49,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return near_dup.deduplicate(docs)
 
 
+# Passages of over 50 words: runs of repeated strings of 256 bytes, some 50 words of four letters, are cut if
+# they have that many words.
+PASSAGE = {"span": 256, "gram": 32, "min_words": 50, "any_bytes": repeats.SPAN}
+
+
 @_stage
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Strings of 400 bytes that also start elsewhere are cut."""
-    return _sized(repeats.remove(docs)).select(*docs.columns)
+    """Runs of 256-byte strings that also start elsewhere are cut if they have
+    50 words or 400 bytes."""
+    return _sized(repeats.remove(docs, **PASSAGE))
 
 
 @_stage
 def personal_data(docs: DataFrame) -> DataFrame:
     """Personal data is replaced by its kind."""
-    return _sized(pii.redact(docs)).select(*docs.columns)
+    return _sized(pii.redact(docs))
 
 
 @_stage
