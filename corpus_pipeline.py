@@ -8,6 +8,8 @@ the shared folder and reads it again as the next one's documents.
 
 from __future__ import annotations
 
+import gc
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,9 @@ def _stage(fn):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         prepare(spark)
         release(spark, _scratch)
+        # Shuffle files go once the plans that wrote them are collected, on both sides.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
         with scratch_owner(_scratch):
             return fn(docs)
     run_stage.__doc__, run_stage.__name__ = fn.__doc__, fn.__name__
