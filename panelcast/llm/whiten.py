@@ -25,7 +25,7 @@ from pyspark.mllib.linalg import Matrices, MatrixUDT
 from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import durable
 
