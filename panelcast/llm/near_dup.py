@@ -7,7 +7,7 @@ one class before anything is paired; within a bucket a class is first
 compared with the smallest class only, and other pairs are compared only where
 their classes are not connected yet, so a large group of near copies costs
 about one comparison for each member and bucket.  Every link is confirmed on
-the full sets.
+the full sets, but sizes and signatures are tested before any set moves.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import bundled, durable, unbundled
 
@@ -30,6 +30,9 @@ PERMUTATIONS = 64        # two signature values each
 ROWS = 4                 # values in a band: 32 bands miss a pair of similarity 0.8 once in 20 million
 CENTER_ROWS = 2000       # sets compared with one center in one group
 BLOCK = 1000             # members of a bucket that are compared with as many others in one group
+SIGMAS = 6               # a pair whose signatures lie that far below the threshold is not looked at further
+NUMBERS = 1024           # bands at most
+MAX_BITMAPS = 8192       # of 4 KB for 32,768 rows each: what a filter on row ids may broadcast
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _rng = np.random.default_rng(8)
@@ -69,14 +72,30 @@ def signature(s: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
     return np.stack([low, high], 1)
 
 
+def short(sig: np.ndarray) -> np.ndarray:
+    """16 bits of each signature value: equal values stay equal, others become
+    equal once in 65,536."""
+    return (_mix(sig.ravel()) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def least_equal(values: int, percent: int = PERCENT) -> int:
+    """Signature values that a pair at the threshold has in common, less SIGMAS
+    deviations: fewer come once in some 500 million pairs.  Minimum and maximum
+    of a permutation don't differ together more often than independent ones."""
+    p = percent / 100
+    return max(0, int(np.floor(values * p - SIGMAS * np.sqrt(values * p * (1 - p)))))
+
+
 def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key for each band of ``rows`` signature values."""
-    flat = sig.ravel()
+    """One key for each band of ``rows`` signature values; its low bits are the
+    band's number."""
+    flat = sig.ravel().astype(np.uint64)
     bands = flat[:len(flat) // rows * rows].reshape(-1, rows)
-    key = np.arange(len(bands), dtype=np.uint64)
+    number = np.arange(len(bands), dtype=np.uint64)
+    key = number.copy()
     for i in range(rows):
         key = _mix(key * _M2 + bands[:, i])
-    return key
+    return key & ~np.uint64(NUMBERS - 1) | number
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -86,37 +105,77 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def _sketch(docs: DataFrame, words: int, permutations: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, f1, f2, bands = [], [], [], []
+            n, f1, f2, bands, sigs = [], [], [], [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t, words)
                 n.append(len(s))
                 mixed = _mix(s ^ _M1)
                 f1.append(int(_signed(np.array([s.sum(dtype=np.uint64)]))[0]))
                 f2.append(int(_signed(np.array([np.bitwise_xor.reduce(mixed) if len(s) else 0], np.uint64))[0]))
-                bands.append(_signed(band_keys(signature(s, permutations), rows)) if len(s) else [])
+                sig = short(signature(s, permutations))
+                bands.append(_signed(band_keys(sig, rows)) if len(s) else [])
+                sigs.append(sig.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))], names=[*b.schema.names, "n_shingles", "f1", "f2", "bands"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
+                names=[*b.schema.names, "n_shingles", "f1", "f2", "bands", "sig"])
 
     d = docs.select(F.monotonically_increasing_id().alias("rid"), "*")
     schema = StructType([*d.schema.fields, *(StructField(c, LongType()) for c in ("n_shingles", "f1", "f2")),
-                         StructField("bands", ArrayType(LongType()))])
+                         StructField("bands", ArrayType(LongType())), StructField("sig", BinaryType())])
     return d.mapInArrow(run, schema)
 
 
+def _having(rows: DataFrame, col: str, ids: DataFrame, other: str) -> DataFrame:
+    """The ``rows`` whose ``col`` is one of ``ids``: by broadcast bitmaps, so
+    that the rows need not move, while there are at most MAX_BITMAPS of them;
+    by a shuffled join beyond."""
+    # Ids move before they are added up: each task would have a bitmap for each bucket.
+    ids = ids.select(other, F.bitmap_bucket_number(other).alias("_bucket"))
+    bits = durable(ids.repartition("_bucket").groupBy("_bucket").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(other)).alias("_bits")), "near-bits")
+    if bits.count() > MAX_BITMAPS:
+        return rows.join(ids.select(F.col(other).alias(col)).distinct(), col, "left_semi")
+    at = F.bitmap_bit_position(col)
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast(bitmap_bit_position({col}) div 8 as int) + 1, 1)")), 16, 10)
+    return (rows.withColumn("_bucket", F.bitmap_bucket_number(col)).join(F.broadcast(bits), "_bucket")
+            .where(byte.cast("int").bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0)
+            .drop("_bucket", "_bits"))
+
+
 def _sets(d: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("rid"), pa.array([shingles(t, words).tobytes() for t in b.column("text").to_pylist()],
-                                           pa.binary())], names=["rid", "data"])
+                [b.column("rid"), b.column("n"), b.column("sig"),
+                 pa.array([shingles(t, words).tobytes() for t in b.column("text").to_pylist()], pa.binary())],
+                names=["rid", "n", "sig", "data"])
+
+    return d.select("rid", F.col("n_shingles").alias("n"), "sig", "text").mapInArrow(
+        run, "rid long, n long, sig binary, data binary")
 
-    return d.select("rid", "text").mapInArrow(run, "rid long, data binary")
+
+def likely(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures don't rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in b.column(c)]).reshape(b.num_rows, -1)
+                    for c in ("x", "y"))
+            ok = (x == y).sum(1) >= least_equal(x.shape[1], percent)
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
+
+    own = sets.select("rid", "n", "sig")
+    both = (pairs.join(own.toDF("a", "n", "x"), "a").join(own.toDF("b", "m", "y"), "b")
+            .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose sets are similar.  A center's members come in
     groups of bounded size, each with a copy of the center's set."""
+    pairs = durable(likely(pairs, sets, percent), "near-likely")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    sets = _having(sets.select("rid", "data"), "rid", ids, "id")
     sizes = pairs.groupBy("a").agg(F.count("*").alias("c")).select(
         "a", F.ceil(F.col("c") / CENTER_ROWS).cast("int").alias("k"))
     member = (pairs.join(sizes, "a").join(sets.withColumnRenamed("rid", "b"), "b")
@@ -177,69 +236,99 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, col: str, name: str) ->
     return rows.join(own, col, "left").withColumn(name, F.coalesce("_label", col)).drop("_label")
 
 
-def _rest(members: DataFrame, labels: DataFrame, d: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
     """Links (a, b) between the components that still share a bucket; of the
     links that join the same components not all are returned.
 
-    Shingles that no other document here has can't be common: a document with
-    too many of them has no link, and the others are compared without them.
     A bucket's members are compared in blocks inside the tasks, so pairs never
-    become rows."""
-    def mixed(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
-        return rows.join(sizes.where("lo <> hi").select("band", F.ceil(F.col("c") / BLOCK).cast("int").alias("k")), "band")
-
-    rows = durable(mixed(_labelled(members, labels, "id", "label")), "near-rest")
-    ids = rows.select(F.col("id").alias("rid")).distinct()
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("data")]
-            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([len(x) for x in s], pa.int64()),
-                                              pa.array(s, pa.list_(pa.int64()))], names=["id", "n", "all"])
-
-    own = durable(sets.join(ids, "rid", "left_semi").mapInArrow(unpack, "id long, n long, all array<long>"), "near-own")
-    single = own.select("id", F.explode("all").alias("h"))
-    common = single.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h")
-    shared = (single.join(common, "h").groupBy("id").agg(F.sort_array(F.collect_list("h")).alias("shared"))
-              .join(own.select("id", "n"), "id").where(100 * F.size("shared") >= percent * F.col("n")))
-    shared = durable(shared.join(d.select(F.col("rid").alias("id"), "bands"), "id"), "near-shared")
-    rows = mixed(rows.drop("k").join(shared.select("id"), "id", "left_semi"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k").cast("long")).cast("int"))
+    become rows: first by size and signature, then, for members that have a
+    likely partner in the same two blocks, by their sets."""
+    m = _labelled(members, labels, "id", "label")
+    sizes = m.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
+    m = m.join(sizes.where("lo <> hi").select("band", F.ceil(F.col("c") / BLOCK).cast("int").alias("k")), "band")
+    m = m.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k").cast("long")).cast("int"))
     # Block x meets blocks x, ..., k-1 as the first and 0, ..., x-1 as the second of a pair of blocks.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).alias("second"), "id", "label")
-    rows = rows.join(shared, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "second", "id")
+    m = durable(m, "near-rest")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]]]:
+        """(key, rows) of each pair of blocks."""
         group, key = [], None
         for b in batches:
-            links = []
             for r in b.to_pylist():
                 k = (r["band"], r["i"], r["j"])
                 if k != key:
-                    links += _compare(group, key, percent)
+                    if group:
+                        yield key, group
                     group, key = [], k
-                group.append((r["second"], r["id"], r["label"], r["n"], np.array(r["shared"], np.int64),
-                              np.array(r["bands"], np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
-        links = _compare(group, key, percent)
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+                group.append(r)
+        if group:
+            yield key, group
+
+    def batched(found: Iterator[list[tuple]], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+        def batch(out):
+            return pa.RecordBatch.from_arrays([pa.array([r[x] for r in out], t) for x, t in enumerate(kinds)], names=names)
+
+        out = []
+        for part in found:
+            out += part
+            if len(out) >= 4096:
+                yield batch(out)
+                out = []
+        yield batch(out)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["band", "i", "j", "second", "id", "label"]
+        found = ([tuple(group[x][c] for c in names) for x in _partnered(group, key, percent, rows)]
+                 for key, group in grouped(batches))
+        return batched(found, names, [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()])
 
-    return rows.mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (_compare([(r["second"], r["id"], r["label"], r["n"], np.frombuffer(r["data"], np.uint64)) for r in group],
+                          key, percent) for key, group in grouped(batches))
+        return batched(found, ["a", "b"], [pa.int64(), pa.int64()])
+
+    def blocks(m: DataFrame, *cols: str) -> DataFrame:
+        own = _having(sets.select("rid", *cols), "rid", m, "id").withColumnRenamed("rid", "id")
+        return m.join(own, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "second", "id")
 
+    m = durable(blocks(m, "n", "sig").mapInArrow(mark, "band long, i int, j int, second boolean, id long, label long"),
+                "near-partnered")
+    return blocks(m, "n", "data").mapInArrow(run, "a long, b long")
 
-def _compare(group: list[tuple], key: tuple | None, percent: int) -> list[tuple[int, int]]:
+
+def _partnered(group: list[dict], key: tuple, percent: int, rows: int) -> list[int]:
+    """Places of the members with a partner of another component that size and
+    signature don't rule out.  A pair counts in the first of its common bands."""
+    one_block = key[1] == key[2]
+    second, n = np.array([g["second"] for g in group]), np.array([g["n"] for g in group])
+    label = np.array([g["label"] for g in group])
+    sig = np.stack([np.frombuffer(g["sig"], np.uint16) for g in group])
+    bands = sig[:, :sig.shape[1] // rows * rows].reshape(len(group), -1, rows)
+    least, found = least_equal(sig.shape[1], percent), np.zeros(len(group), bool)
+    for x in range(len(group)) if one_block else np.flatnonzero(~second).tolist():
+        others = np.arange(x + 1, len(group)) if one_block else np.flatnonzero(second)
+        ok = (label[others] != label[x]) & (
+            100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others]))
+        others = others[ok]
+        others = others[(sig[others] == sig[x]).sum(1) >= least]
+        if len(others):
+            equal = (bands[others] == bands[x]).all(2)
+            others = others[equal.argmax(1) == key[0] % NUMBERS]
+        found[others] = True
+        found[x] |= len(others) > 0
+    return np.flatnonzero(found).tolist()
+
+
+def _compare(group: list[tuple], key: tuple, percent: int) -> list[tuple[int, int]]:
     """Links between members of two blocks (or of one) in different components,
     one for each two components that they join."""
-    if not group:
-        return []
     one_block = key[1] == key[2]
     second, ids = np.array([g[0] for g in group]), np.array([g[1] for g in group])
     n = np.array([g[3] for g in group])
     size = np.array([len(g[4]) for g in group])
-    bands = np.stack([g[5] for g in group])
     _, label = np.unique([g[2] for g in group], return_inverse=True)
     at = np.concatenate([[0], np.cumsum(size)])
     tokens = np.concatenate([g[4] for g in group])
@@ -249,10 +338,6 @@ def _compare(group: list[tuple], key: tuple | None, percent: int) -> list[tuple[
         most = np.minimum(size[x], size[others])
         ok = (label[others] != label[x]) & (100 * most >= percent * (n[x] + n[others] - most))
         others = others[ok]
-        if len(others):
-            # A pair is compared in the first of its common bands.
-            equal = bands[others] == bands[x]
-            others = others[bands[x][equal.argmax(1)] == key[0]]
         if not len(others):
             continue
         # One other member of a component at first: most often it is linked, and the rest need no look.
@@ -292,14 +377,14 @@ def _search(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int = PERCENT,
     same = ["f1", "f2", "n_shingles"]
     one = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     classes = durable(some.groupBy(*same).agg(F.min(one).alias("one"), F.min("rid").alias("node")), "near-classes")
-    members = durable(some.select("rid", "bands").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi")
+    members = durable(_having(some.select("rid", "bands"), "rid", classes, "node")
                       .select(F.explode("bands").alias("band"), F.col("rid").alias("id")), "near-bands")
     lowest = members.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1").select("band", "a")
     # Members of buckets that hold more than one class; the rest is done.
     members = durable(members.join(lowest, "band"), "near-members")
     stars = durable(members.where("a <> id").select("a", F.col("id").alias("b")).distinct(), "near-pairs")
-    involved = stars.select(F.col("a").alias("rid")).unionByName(stars.select(F.col("b").alias("rid"))).distinct()
-    sets = durable(_sets(d.join(involved, "rid", "left_semi"), words), "near-sets")
+    involved = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id")))
+    sets = durable(_sets(_having(d, "rid", involved, "id"), words), "near-sets")
 
     # First each class with the smallest of all its buckets, ...
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -310,7 +395,7 @@ def _search(docs: DataFrame, words: int = DEFAULT_WORDS, percent: int = PERCENT,
     links = links.unionByName(durable(confirm(left.where("x <> y").select("a", "b"), sets, percent), "near-found"))
     labels = durable(components(links), "near-labels")
     # ... then with all others of its buckets in other components.
-    more = durable(_rest(members.select("band", "id"), labels, d, sets, percent), "near-found")
+    more = durable(_rest(members.select("band", "id"), labels, sets, percent, rows), "near-found")
     labels = durable(components(links.unionByName(more)), "near-labels")
 
     named = _labelled(classes, labels, "node", "label")

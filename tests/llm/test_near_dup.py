@@ -90,3 +90,28 @@ def test_components_of_long_paths(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 300)] + [(500, 900), (700, 900), (500, 500)], "a long, b long")
     got = {r.node: r.label for r in near_dup.components(links.where("a <> b")).collect()}
     assert got == {i: 0 for i in range(301)} | {500: 500, 700: 500, 900: 500}
+
+
+def test_rows_of_given_ids_by_bitmaps_and_by_join(spark, monkeypatch):
+    rng = random.Random(5)
+    every = [p << 33 | n for p in (0, 1, 7) for n in range(0, 70000, 7)] + [0, 1, 32767, 32768, 32769]
+    wanted = rng.sample(every, 900) + [0, 32768]
+    rows = spark.createDataFrame([(x,) for x in every], "rid long").distinct()
+    ids = spark.createDataFrame([(x,) for x in wanted * 2], "id long")
+    for most in (near_dup.MAX_BITMAPS, 1):
+        monkeypatch.setattr(near_dup, "MAX_BITMAPS", most)
+        assert sorted(r.rid for r in near_dup._having(rows, "rid", ids, "id").collect()) == sorted(set(wanted))
+    assert near_dup._having(rows, "rid", ids.limit(0), "id").count() == 0
+
+
+def test_signatures_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(2)
+    least = near_dup.least_equal(2 * near_dup.PERMUTATIONS)
+    assert 70 < least < 80
+    for size in (1, 4, 8, 40, 400):
+        for _ in range(60):
+            both = rng.integers(0, 1 << 62, size * 10, dtype=np.int64).astype(np.uint64)
+            a, b = (near_dup.short(near_dup.signature(np.concatenate([both[:8 * size], x])))
+                    for x in (both[8 * size:9 * size], both[9 * size:]))      # 8 of 10 shingles
+            assert (a == b).sum() >= least
+    assert list(near_dup._signed(near_dup.band_keys(a)) % near_dup.NUMBERS) == list(range(32))
