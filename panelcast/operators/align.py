@@ -165,6 +165,51 @@ def asof_join(left: DataFrame, right: DataFrame, value_cols: Sequence[str], enti
     return null_safe_join(base, resolved, keys).select(*out_cols)
 
 
+def asof_join_split(left: DataFrame, right: DataFrame, value_cols: Sequence[str], entity: Sequence[str] = (),
+                    time: str = "date") -> DataFrame:
+    """J4 where one entity holds most rows, or there is none: each left row
+    gets the values of the last right row at or before its time.
+
+    Both sides are sorted together by (entity, time); range partitioning
+    splits an entity, and also the left rows of one time, over many tasks.  A
+    partition's part of an entity takes in the last right row of the parts
+    before it (a table of at most partitions + entities rows) as its own first
+    row, so one window over the parts does the rest.
+
+    Of right rows at the same time that with the largest values counts, its
+    NULL values included.  Right rows without a time match nothing and left
+    rows without one get NULL; a NULL entity is an entity.  Rows, also
+    repeated ones, and columns of the left side stay, except that columns
+    named like a value are replaced.
+    """
+    entity, values = list(entity), list(value_cols)
+    rest = [c for c in left.columns if c not in {*entity, time, *values}]
+    key = [f"_e{i}" for i in range(len(entity))]
+    named = [F.col(f"`{e}`").alias(k) for e, k in zip(entity, key, strict=True)]
+    vals = F.struct(*[F.col(f"`{v}`").alias(f"_v{i}") for i, v in enumerate(values)])
+    row = F.struct(F.lit(0).alias("_x"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(rest)])
+    at = F.col(f"`{time}`").alias("_t")
+    r = right.where(F.col(f"`{time}`").isNotNull()).select(*named, at, F.lit(0).alias("_side"), vals.alias("_vals"))
+    lf = left.select(*named, at, F.lit(1).alias("_side"), row.alias("_row"))
+    lf = lf.withColumn("_tie", F.xxhash64("_row"))
+    order = ["_t", "_side", "_vals", "_tie"]
+    srt = r.unionByName(lf, allowMissingColumns=True).orderBy(*key, *order).checkpoint(eager=True)
+    srt = srt.withColumn("_pid", F.spark_partition_id())
+    parts = srt.groupBy("_pid", *key).agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_vals"))).alias("_last"))
+    w = (Window.partitionBy(*key) if key else Window.partitionBy()).orderBy("_pid")
+    before = F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    carried = parts.select("_pid", *key, F.lit(-1).alias("_side"), before["_vals"].alias("_vals"))
+    every = srt.unionByName(carried, allowMissingColumns=True)
+    part = Window.partitionBy("_pid", *key).orderBy(F.col("_side") >= 0, *order)
+    found = F.last("_vals", ignorenulls=True).over(part.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = every.withColumn("_found", found).where("_side = 1")
+    place = {**{e: F.col(k) for e, k in zip(entity, key, strict=True)}, time: F.col("_t"),
+             **{c: F.col("_row")[f"_c{i}"] for i, c in enumerate(rest)}}
+    kept = [c for c in left.columns if c not in values]
+    return out.select(*[place[c].alias(c) for c in kept],
+                      *[F.col("_found")[f"_v{i}"].alias(v) for i, v in enumerate(values)])
+
+
 def ffill_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
                       backward: bool = False) -> DataFrame:
     """W6 for series too long for one task (one entity holding most rows, or

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FeatureConfig, MonitorConfig
 from ..operators import features as FT
-from ..operators.align import asof_join, calendar, ffill_distributed, fill, series_window
+from ..operators.align import asof_join, asof_join_split, calendar, ffill_distributed, fill, series_window
 from ..operators.dedupe import dedupe
 from ..operators.monitor import monitoring_report, moving_average_accuracy
 from ..operators.split import chronological_split, contiguous_folds, series_checks
@@ -281,6 +281,34 @@ def j4_asof_join(spark, sf_dir):
     return round_doubles(asof_join(o, s, ["set"]))
 
 
+# Account 0 stands for seven users of ten, so it holds most events.
+@register("j4_asof_hot_entity", ("J4",), f"""
+WITH e AS (SELECT event_id, CASE WHEN user_id % 10 < 7 THEN 0 ELSE user_id END AS account, ts, event_type, value FROM events),
+p AS (SELECT account, ts, max(value) AS last_purchase FROM e WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT e.event_id, e.account, {R('p.last_purchase')} AS last_purchase
+FROM e ASOF LEFT JOIN p ON e.account = p.account AND e.ts >= p.ts""")
+def j4_asof_hot_entity(spark, sf_dir):
+    """Each event gets its account's last purchase at or before it; one account
+    holds most events and is split over tasks."""
+    ev = read_table(spark, sf_dir, "events").withColumn(
+        "account", F.when(F.col("user_id") % 10 < 7, F.lit(0).cast("long")).otherwise(F.col("user_id")))
+    bought = ev.where("event_type = 'purchase'").select("account", "ts", F.col("value").alias("last_purchase"))
+    out = asof_join_split(ev.select("event_id", "account", "ts"), bought, ["last_purchase"], ["account"], "ts")
+    return round_doubles(out.select("event_id", "account", "last_purchase"))
+
+
+@register("j4_asof_one_timeline", ("J4",), f"""
+WITH p AS (SELECT ts, max(value) AS last_error FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT e.event_id, e.event_type, {R('p.last_error')} AS last_error
+FROM events e ASOF LEFT JOIN p ON e.ts >= p.ts""")
+def j4_asof_one_timeline(spark, sf_dir):
+    """Each event gets the last error at or before it, of any user: no entity."""
+    ev = read_table(spark, sf_dir, "events")
+    errors = ev.where("event_type = 'error'").select("ts", F.col("value").alias("last_error"))
+    out = asof_join_split(ev.select("event_id", "event_type", "ts"), errors, ["last_error"], (), "ts")
+    return round_doubles(out.select("event_id", "event_type", "last_error"))
+
+
 @register("j5_actual_vs_predicted", ("J5",), f"""
 WITH {PRED}, {GOLD.replace('gold AS', 'g2 AS')}
 SELECT g2.o_orderpriority, g2.date, {R('g2.gold')} AS actual, {R('p.predicted')} AS predicted

@@ -96,6 +96,33 @@ def test_asof_join(spark):
     assert got == {1: 20.0, 2: None, 3: 50.0}
 
 
+def test_asof_join_of_a_hot_entity(spark):
+    from panelcast.operators.align import asof_join_split
+    rng = random.Random(4)
+    left = [(i, rng.choice(["hot"] * 8 + ["b", None]), rng.choice([None, 7, *range(400)])) for i in range(1500)]
+    left += left[:20] + [(5000 + i, "hot", 7) for i in range(300)]
+    right = [(rng.choice(["hot", "hot", "b", "c", None]), rng.choice([None, *range(0, 400, 3)]),
+              rng.choice([None, rng.random()])) for _ in range(500)]
+
+    def brute(keyed):
+        out = []
+        for i, e, t in left:
+            old = [(rt, v is not None, v or 0.0, v) for re, rt, v in right
+                   if (re == e or not keyed) and rt is not None and t is not None and rt <= t]
+            out.append((i, e, t, max(old)[3] if old else None))
+        return sorted(out, key=repr)
+    lf = spark.createDataFrame(left, "id long, e string, t int").withColumn("_t", F.col("id"))
+    rt = spark.createDataFrame(right, "e string, t int, v double")
+    for keyed in (True, False):
+        got = asof_join_split(lf, rt, ["v"], ["e"] if keyed else [], "t")
+        assert got.columns == ["id", "e", "t", "_t", "v"]
+        rows = got.collect()
+        assert sorted(((r.id, r.e, r.t, r.v) for r in rows), key=repr) == brute(keyed)
+        assert all(r._t == r.id for r in rows)
+        assert asof_join_split(lf, rt.limit(0), ["v"], ["e"] if keyed else [], "t").where("v is not null").count() == 0
+    assert asof_join_split(lf.limit(0), rt, ["v"], ["e"], "t").count() == 0
+
+
 def test_split_and_folds(spark):
     df = _series(spark, [float(i) for i in range(13)])
     f = contiguous_folds(df, 5, ["e"]).orderBy("date").collect()
