@@ -239,8 +239,6 @@ def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
     columns = docs.columns
     d = durable(docs.withColumn("_rid", F.monotonically_increasing_id()), "repeats-docs")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # One exchange of the texts serves the search, the index and the result.
-    d = d.repartition(parts, "_rid")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["rid", "m", "d1", "d2", "s", "n", "several"]
@@ -255,16 +253,19 @@ def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
     same = ["m", "d1", "d2"]
     kinds = segs.groupBy(*same).agg(F.count("*").alias("c"), F.min(F.struct("rid", "s", "n")).alias("one"),
                                     F.max("several").alias("several"))
-    keys = (kinds.groupBy("m").agg(F.count("*").alias("k"), F.max("several").alias("any"),
+    keys = (kinds.groupBy("m").agg(F.count("*").alias("k"), F.sum("c").alias("rows"), F.max("several").alias("any"),
                                    F.sum(F.col("one.n") + span - 1).alias("bytes"))
-            .where((F.col("k") > 1) | F.col("any")).select("m", "bytes"))
+            .where((F.col("rows") > 1) | F.col("any")).select("m", "k", "bytes"))
+    # Kinds of keys that occur once end here; the others are written, so that segments are counted once.
+    found = durable(kinds.join(keys, "m").select(
+        *same, "c", "one", ((F.col("k") > 1) | F.col("several")).alias("inside"),
+        (F.col("bytes") > hot_bytes).alias("hot")), "repeats-kinds")
     # Segments with a copy are repeated as a whole.
-    copied = kinds.where("c > 1").select(*same)
+    copied = found.where("c > 1").select(*same)
     whole = segs.join(copied, same).select("rid", F.col("s").alias("a"), (F.col("s") + F.col("n") + span - 1).alias("b"))
     # Of each kind, one goes to the index, or to the hashes if its key has too much text.
-    wanted = (kinds.join(keys, "m").groupBy(F.col("one.rid").alias("_rid")).agg(F.collect_list(F.struct(
-        "m", F.col("one.s").alias("s"), F.col("one.n").alias("n"), F.col("c"),
-        (F.col("bytes") > hot_bytes).alias("hot"))).alias("_want")))
+    wanted = (found.where("inside").groupBy(F.col("one.rid").alias("_rid")).agg(F.collect_list(F.struct(
+        "m", F.col("one.s").alias("s"), F.col("one.n").alias("n"), "c", "hot")).alias("_want")))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
