@@ -75,7 +75,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
-    out = lm.score(docs.select("doc_id", "text", (~held_out).alias("train")))
+    out = lm.score(docs.select("doc_id", "text", (~held_out).alias("train")), order=3)
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                       "base_score", "score")
 
