@@ -6,10 +6,13 @@ window spec, so Catalyst plans one exchange + one sort for the whole set.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..config import FeatureConfig
 from .align import series_window
@@ -112,11 +115,9 @@ def sequences(df: DataFrame, cols: Sequence[str], length: int = 60, label: str |
     return out.filter(F.size("sequence") == length)
 
 
-def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
-                         lags: Sequence[int] = (1, 3), roll: int = 7, min_periods: int = 3,
-                         roll_name: str = "roll7_mean") -> DataFrame:
-    """W1 / W3 / W4 for series too long for one task (an entity holding most
-    rows, or no entity at all), exactly equal to the window version.
+def halo_partitions(df: DataFrame, entity: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
+    """``df`` with _pid and _halo: rows cut into ranges of (entity, order), and
+    beside each range the ``k`` rows of its first entity that come before it.
 
     The data is sorted by (entity, order) - range partitioning splits a long
     series - and checkpointed.  A partition only needs the last K rows before
@@ -125,12 +126,9 @@ def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[st
     count per entity; a halo row with number r belongs to the partitions
     whose preceding count c satisfies c - K < r <= c, found with an
     equi-join on (entity, r + j) for j < K - so every halo row lands in at
-    most K partitions.  Features are then computed per (partition, entity)
-    over halo + own rows, and halo rows are dropped.  ``order`` must be a
-    total order within the entity.
+    most K partitions.  ``order`` must be a total order within the entity.
     """
-    cols, entity, order = list(cols), list(entity), list(order)
-    k = max([*lags, roll - 1, 1])
+    entity, order = list(entity), list(order)
     srt = df.orderBy(*entity, *order).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
     ent_w = Window.partitionBy(*entity) if entity else Window.partitionBy()
     counts = srt.groupBy("_pid", *entity).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_c"))
@@ -147,9 +145,23 @@ def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[st
     halo = (cand.join(targets, [*entity, "_key"])
             .filter(F.col("_r") > F.col("_key") - k)
             .select(*df.columns, F.col("_target").alias("_pid"), F.lit(True).alias("_halo")))
-    rows = srt.withColumn("_halo", F.lit(False))
-    both = rows.unionByName(halo)
-    w = seg_w.orderBy(*order)
+    return srt.withColumn("_halo", F.lit(False)).unionByName(halo)
+
+
+def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = (), order: Sequence[str] = ("date",),
+                         lags: Sequence[int] = (1, 3), roll: int = 7, min_periods: int = 3,
+                         roll_name: str = "roll7_mean") -> DataFrame:
+    """W1 / W3 / W4 for series too long for one task (an entity holding most
+    rows, or no entity at all), exactly equal to the window version.
+
+    ``halo_partitions`` splits a long series; features are computed per
+    (partition, entity) over halo + own rows, and halo rows are dropped.
+    ``order`` must be a total order within the entity.
+    """
+    cols, entity, order = list(cols), list(entity), list(order)
+    k = max([*lags, roll - 1, 1])
+    both = halo_partitions(df, entity, order, k)
+    w = Window.partitionBy("_pid", *entity).orderBy(*order)
     exprs = {}
     for c in cols:
         for lag in lags:
@@ -158,3 +170,45 @@ def features_distributed(df: DataFrame, cols: Sequence[str], entity: Sequence[st
         exprs[f"{c}_pct_change"] = pct_change_col(c, w)
     out = both.withColumns(exprs).filter(~F.col("_halo"))
     return out.drop("_pid", "_halo")
+
+
+def sequences_distributed(df: DataFrame, cols: Sequence[str], length: int = 60, label: str | None = None,
+                          entity: Sequence[str] = (), order: Sequence[str] = ("date",), batch_rows: int = 1024) -> DataFrame:
+    """W15 for long series, equal to ``sequences``: ranges of rows get the
+    ``length`` rows before them, and each sample is sliced from its range's
+    rows as they pass, at most ``batch_rows`` samples at a time.  Rows travel
+    once, not once for each sample, and one entity may lie on many tasks.
+    Nulls stay nulls; ``order`` must be a total order within the entity."""
+    cols, entity, order = list(cols), list(entity), list(order)
+    label = label or cols[0]
+    # As one struct, so that a null entity is one too.
+    keys = ["_entity"] if entity else []
+    at = [f"_o{i}" for i in range(len(order))]
+    own = df.select(*[F.struct(*entity).alias(k) for k in keys], *[F.col(c).alias(a) for c, a in zip(order, at, strict=True)],
+                    F.array(*[F.col(c).cast("double") for c in cols]).alias("_row"), F.col(label).cast("double").alias("_label"))
+    w = Window.partitionBy("_pid", *keys).orderBy(*at)
+    rows = (halo_partitions(own, keys, at, length).withColumn("_n", F.row_number().over(w))
+            .sortWithinPartitions("_pid", *keys, *at))
+    names = [*keys, *at, "sequence", "label"]
+    schema = StructType([*[own.schema[c] for c in names[:-2]], StructField("sequence", ArrayType(ArrayType(DoubleType()))),
+                         StructField("label", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None                                  # the rows that the next batch's samples may need
+        for b in batches:
+            values = b.column("_row") if held is None else pa.concat_arrays([held, b.column("_row")])
+            before = len(values) - len(b)
+            # A row numbered beyond the length has that many rows of its entity right before it.
+            full = np.flatnonzero((b.column("_n").to_numpy() > length) & ~b.column("_halo").to_numpy(zero_copy_only=False))
+            for i in range(0, len(full), batch_rows):
+                mine = full[i:i + batch_rows]
+                place = (mine[:, None] + (before - length) + np.arange(length)).ravel()
+                samples = pa.ListArray.from_arrays(np.arange(len(mine) + 1, dtype=np.int32) * length, values.take(pa.array(place)))
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c).take(pa.array(mine)) for c in [*keys, *at]], samples, b.column("_label").take(pa.array(mine))],
+                    names=names)
+            held = values.slice(max(0, len(values) - length))
+
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[F.col("_entity")[c].alias(c) for c in entity],
+                      *[F.col(a).alias(c) for c, a in zip(order, at, strict=True)], "sequence", "label")

@@ -235,6 +235,20 @@ def w15_sequences(spark, sf_dir):
                       F.round(F.col("label") * nudge, 4).alias("label"))
 
 
+@register("w15_sequences_one_timeline", ("W15",), f"""
+SELECT * FROM (SELECT ts, event_id, list([{R('value')}]) OVER (ORDER BY ts, event_id ROWS BETWEEN 60 PRECEDING
+  AND 1 PRECEDING) AS sequence, {R('value')} AS label FROM events) WHERE len(sequence) = 60""")
+def w15_sequences_one_timeline(spark, sf_dir):
+    """The 60 values before each event, all events as one series, cut from
+    ranges with a halo of 60 rows."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "event_id", "value")
+    seq = FT.sequences_distributed(ev, ["value"], 60, order=("ts", "event_id"))
+    nudge = F.lit(1.000000000001)
+    return seq.select("ts", "event_id",
+                      F.transform("sequence", lambda r: F.transform(r, lambda v: F.round(v * nudge, 4))).alias("sequence"),
+                      F.round(F.col("label") * nudge, 4).alias("label"))
+
+
 @register("w16_minmax_scale", ("W16",), f"""
 WITH {GOLD}, s AS (SELECT o_orderpriority, min(gold) AS lo, max(gold) AS hi FROM gold GROUP BY 1)
 SELECT o_orderpriority, date, {R('gold')} AS gold,

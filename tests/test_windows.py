@@ -190,3 +190,18 @@ def test_asof_join_per_entity_and_entity_calendar(spark):
     ents = spark.createDataFrame([("a",), ("b",)], "e string")
     cal = calendar(spark, "2025-11-21", "2025-11-24", None, entities=ents)
     assert sorted((r.e, r.date.day) for r in cal.collect()) == [(e, d) for e in "ab" for d in (21, 22, 23, 24)]
+
+
+def test_sequences_distributed_matches_window(spark):
+    """One entity holds most rows, one is null, some series are shorter than
+    the length; values have nulls, and samples leave in small batches."""
+    from panelcast.operators.features import sequences, sequences_distributed
+    rows = [(None if i % 9 == 0 else "hot" if i % 9 < 7 else f"e{i % 5}", i * 7919 % 2003, None if i % 11 == 0 else float(i % 37))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "e string, t int, v double").withColumn("u", F.col("v") * 2)
+    key = lambda r: repr(tuple(r))
+    for entity, length in ((["e"], 5), ([], 30), (["e"], 400), (["e"], 5000)):
+        want = sorted(sequences(df, ["v", "u"], length, "u", entity, "t").collect(), key=key)
+        got = sorted(sequences_distributed(df, ["v", "u"], length, "u", entity, ["t"], batch_rows=16).collect(), key=key)
+        assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert sequences_distributed(df.limit(0), ["v"], 5, order=["t"]).count() == 0
