@@ -221,7 +221,12 @@ def _listed(spans):
 def report(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)."""
     d = extract(docs.select("doc_id", "text"), **options)
-    counts = [F.size(F.filter("_base", lambda x, k=k: x["k"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+
+    def count(k):
+        # One parameter only: a second one would be the element's index.
+        return F.size(F.filter("_base", lambda x: x["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    counts = [count(k) for k in range(4)]
     return d.select("doc_id", *counts, F.sha2(_listed(F.col("_base")), 256).alias("base_sha256"),
                     _listed(F.col("_spans")).alias("spans"))
 

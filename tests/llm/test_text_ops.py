@@ -125,6 +125,18 @@ def test_pii_base_spans_equal_the_patterns():
     assert pii.base_spans(t) == _brute_spans(t)
 
 
+def test_pii_counts_are_of_their_kinds(spark):
+    docs = [(1, "1.2.3.4 then 5.6.7.8 and 9.9.9.9"), (2, "call +44 20 7946 0958"), (3, "4111 1111 1111 1111 of a@b.org"), (4, None),
+            (5, "a@b.org c@d.org 4111111111111111 10.0.0.1")]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, t in docs:
+        spans = _brute_spans(t or "")
+        want = tuple(sum(k == n for _, k, _ in spans) for n in range(4))
+        assert (got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone) == want, t
+        listed = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert got[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def test_pii_bootstrap_finds_unseen_identifiers(spark):
     rng = random.Random(2)
     rows = [(i, f"{edge.words(rng, 12)} reach me {'at user%d@mail.example' % i} {edge.words(rng, 5)}") for i in range(8)]
