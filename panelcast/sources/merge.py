@@ -107,10 +107,12 @@ class BatchedUpsert:
     The rows are numbered once and kept with their batch.  Batches are sent in
     groups, each as one epoch of the target, and entered in a ledger after they
     are written, so a restart sends unfinished groups only; a group that was
-    written and not entered replaces itself."""
+    written and not entered replaces itself.  A group has ``group`` batches, or
+    more where there would be over ``max_groups`` groups: each takes a fixed
+    number of jobs, so the jobs don't grow with the rows."""
 
-    def __init__(self, target: MergedTable, path: str, size: int = 500, group: int = 64):
-        self.spark, self.target, self.size, self.group = target.spark, target, size, group
+    def __init__(self, target: MergedTable, path: str, size: int = 500, group: int = 64, max_groups: int = 16):
+        self.spark, self.target, self.size, self.group, self.max_groups = target.spark, target, size, group, max_groups
         self.path = path.rstrip("/")
         self.ledger_store = VersionedStore(self.spark, f"{self.path}/ledger")
 
@@ -121,8 +123,10 @@ class BatchedUpsert:
         # Epochs below this one hold what the target had before.
         first = max([self.target.compacted(), *self.target.pending()]) + 1
         q = global_index(rows, list(order), col="_pos")
+        batches = -(-((q.agg(F.max("_pos")).first()[0] or 0) + 1) // self.size)
+        group = max(self.group, -(-batches // self.max_groups))
         q = q.withColumn("batch_id", F.floor(F.col("_pos") / self.size).cast("long")).withColumn(
-            "epoch", (F.floor(F.col("batch_id") / self.group) + first).cast("long")).drop("_pos")
+            "epoch", (F.floor(F.col("batch_id") / group) + first).cast("long")).drop("_pos")
         q.write.mode("overwrite").partitionBy("epoch").parquet(f"{self.path}/queue")
 
     def groups(self) -> list[int]:

@@ -169,3 +169,17 @@ def test_upsert_resumes_after_any_batch(spark, broken_after):
     assert again.send() == 7 - broken_after and again.send() == 0
     assert _rows(make().read()) == sorted([(i, "old") for i in range(20)] + [(i, "new") for i in range(20, 83)], key=repr)
     assert _rows(again.ledger()) == sorted([(b, 5 if b < 12 else 3, "done") for b in range(13)], key=repr)
+
+
+def test_groups_of_a_batched_upsert_are_bounded(spark):
+    path, schema = _path(spark, "batched"), "k long, v string"
+    target = MergedTable(spark, f"{path}/table", spark.createDataFrame([], schema).schema, ["k"], buckets=2)
+    sender = BatchedUpsert(target, path, size=5, group=2, max_groups=3)
+    sender.plan(spark.createDataFrame([(i, "new") for i in range(133)], schema), ["k"])
+    assert len(sender.groups()) == 3                             # of 27 batches, not 14 groups of 2
+    assert sender.send(groups=1) == 1 and sender.ledger().where("state = 'done'").count() == 9
+    assert sender.send() == 2 and _rows(target.read()) == sorted([(i, "new") for i in range(133)], key=repr)
+    assert _rows(sender.ledger()) == sorted([(b, 5 if b < 26 else 3, "done") for b in range(27)], key=repr)
+    empty = BatchedUpsert(target, f"{path}/none", size=5, group=2)
+    empty.plan(spark.createDataFrame([], schema), ["k"])
+    assert empty.send() == 0
