@@ -26,6 +26,18 @@ PARAMS = {
 }
 
 
+# Rows of a training task.  Trees send the statistics of every open node from
+# every task and boosting takes several jobs for a tree, so few rows make few tasks.
+TASK_ROWS = 1 << 16
+
+
+def packed(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``train`` in tasks of some TASK_ROWS rows, as many as the rows need, in
+    an order of their values, so that drawn samples don't depend on the layout."""
+    d = train.select(*features, label)
+    return d.repartition(max(1, -(-d.count() // TASK_ROWS)), *features, label).sortWithinPartitions(*features, label)
+
+
 def estimator(kind: str, label: str, seed: int = 42, overrides: dict | None = None):
     p = dict(PARAMS[kind])
     p.update(overrides or {})
@@ -44,7 +56,7 @@ def estimator(kind: str, label: str, seed: int = 42, overrides: dict | None = No
 def fit(train: DataFrame, features: Sequence[str], label: str, kind: str, seed: int = 42,
         overrides: dict | None = None) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, estimator(kind, label, seed, overrides)]).fit(train)
+    return Pipeline(stages=[assembler, estimator(kind, label, seed, overrides)]).fit(packed(train, features, label))
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:

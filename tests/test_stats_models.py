@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelcast.config import ForecastConfig, MonitorConfig
 from panelcast.models import forecast as FC
 from panelcast.models import linear as LIN
+from panelcast.models import mllib as ML
 from panelcast.operators import stats as S
 from panelcast.operators.monitor import monitoring_report
 from panelcast.operators.ranks import global_index
@@ -179,3 +180,14 @@ def test_approx_percentiles_close_to_exact(spark):
         # rank error of the sketch is about n / accuracy
         lo, hi = vals[max(0, int(p * 5000) - 2)], vals[min(4999, int(p * 5000) + 2)]
         assert lo <= approx[name] <= hi
+
+
+def test_training_rows_make_few_tasks_in_an_order_of_their_own(spark, monkeypatch):
+    rows = [(float(i % 7), float(i * 37 % 101), float(i)) for i in range(300)]
+    d = spark.createDataFrame(rows, "a double, b double, y double")
+    one = ML.packed(d.repartition(13), ["a", "b"], "y")
+    assert one.rdd.getNumPartitions() == 1
+    assert one.collect() == ML.packed(d.repartition(3), ["a", "b"], "y").collect() and one.count() == 300
+    assert ML.packed(d.limit(0), ["a", "b"], "y").count() == 0
+    monkeypatch.setattr(ML, "TASK_ROWS", 100)
+    assert ML.packed(d, ["a", "b"], "y").rdd.getNumPartitions() == 3
