@@ -48,3 +48,25 @@ def test_idle_state_expires(spark):
     assert rows[(1, 2)].value_lag1 == 10.0
     assert rows[(2, 10)].value_lag1 == 5.0            # user 2 was active: history kept
     assert rows[(1, 12)].value_lag1 is None           # user 1's idle state was dropped
+
+
+def test_entities_of_one_bucket_keep_their_own_state(spark):
+    """Null entities, values and zeros, all entities in one bucket."""
+    base = scratch_path(spark, f"test-stream-{uuid.uuid4().hex}")
+    t = lambda d: dt.datetime(2024, 1, d)
+    ticks = [(u, t(d), None if (d + (u or 0)) % 5 == 0 else float((d * 7 + (u or 0)) % 4)) for d in range(1, 29) for u in (0, 1, None, 2)]
+    for c in range(4):
+        _write(spark, f"{base}/src", [r for r in ticks if (r[1].day - 1) // 7 == c])
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    calls = stream_features(src, "user_id", "ts", "value", buckets=1)
+    run_available(calls, f"{base}/out", f"{base}/ckpt", state_partitions=2)
+    got = {(r.user_id, r.ts.day): r for r in spark.read.parquet(f"{base}/out").collect()}
+    assert len(got) == len(ticks)
+    for u in (0, 1, None, 2):
+        x = [v for e, _, v in ticks if e == u]
+        for i, v in enumerate(x):
+            r, near = got[(u, i + 1)], [w for w in x[max(0, i - 6):i + 1] if w is not None]
+            assert r.value == v and not r.late
+            assert (r.value_lag1, r.value_lag3) == (x[i - 1] if i else None, x[i - 3] if i > 2 else None)
+            assert r.value_roll7_mean == (sum(near) / len(near) if len(near) >= 3 else None)
+            assert r.value_pct_change == (v / x[i - 1] - 1 if v is not None and i and x[i - 1] else None)
