@@ -244,11 +244,19 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
     become rows: first by size and signature, then, for members that have a
     likely partner in the same two blocks, by their sets."""
     m = _labelled(members, labels, "id", "label")
-    sizes = m.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
-    m = m.join(sizes.where("lo <> hi").select("band", F.ceil(F.col("c") / BLOCK).cast("int").alias("k")), "band")
-    m = m.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k").cast("long")).cast("int"))
-    # Block x meets blocks x, ..., k-1 as the first and 0, ..., x-1 as the second of a pair of blocks.
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+    parts = m.groupBy("band", "label").agg(F.count("*").alias("s"))
+    sizes = parts.groupBy("band").agg(F.sum("s").alias("c"), F.max(F.struct("s", "label")).alias("big"), F.count("*").alias("n"))
+    # The largest component's members only meet the others: it has blocks of its own, from number k on.
+    apart = F.col("c") > BLOCK
+    own = F.when(apart, F.ceil(F.col("big.s") / BLOCK)).otherwise(0).cast("int")
+    others = F.when(apart, F.ceil((F.col("c") - F.col("big.s")) / BLOCK)).otherwise(1).cast("int")
+    m = m.join(sizes.where("n > 1").select("band", own.alias("own"), others.alias("k"), F.col("big.label").alias("large")), "band")
+    m = m.withColumn("large", (F.col("own") > 0) & (F.col("label") == F.col("large")))
+    dealt = F.when(F.col("large"), F.col("own")).otherwise(F.col("k")).cast("long")
+    m = m.withColumn("block", F.pmod(F.xxhash64("id"), dealt).cast("int") + F.when(F.col("large"), F.col("k")).otherwise(0))
+    # Block x meets blocks x, ... as the first and 0, ..., x-1 as the second of a pair of blocks.
+    m = m.withColumn("other", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("large"), F.col("k")).otherwise(F.col("k") + F.col("own")) - 1))).select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).alias("second"), "id", "label")
     m = durable(m, "near-rest")
@@ -291,8 +299,12 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
         return batched(found, ["a", "b"], [pa.int64(), pa.int64()])
 
     def blocks(m: DataFrame, *cols: str) -> DataFrame:
+        # A member meets its set once, and then goes to all its places.
         own = _having(sets.select("rid", *cols), "rid", m, "id").withColumnRenamed("rid", "id")
-        return m.join(own, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "second", "id")
+        places = m.groupBy("id", "label").agg(F.collect_list(F.struct("band", "i", "j", "second")).alias("_places"))
+        m = places.join(own, "id").select(F.explode("_places").alias("_place"), "id", "label", *cols).select(
+            "_place.*", "id", "label", *cols)
+        return m.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "second", "id")
 
     m = durable(blocks(m, "n", "sig").mapInArrow(mark, "band long, i int, j int, second boolean, id long, label long"),
                 "near-partnered")

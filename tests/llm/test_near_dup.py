@@ -115,3 +115,33 @@ def test_signatures_keep_pairs_at_the_threshold():
                     for x in (both[8 * size:9 * size], both[9 * size:]))      # 8 of 10 shingles
             assert (a == b).sum() >= least
     assert list(near_dup._signed(near_dup.band_keys(a)) % near_dup.NUMBERS) == list(range(32))
+
+
+def test_members_of_a_large_component_do_not_meet_each_other_again(spark, monkeypatch):
+    """Rows of a bucket grow with its largest component, not with its square."""
+    class Seen(Exception):
+        pass
+
+    def durable(df, name):
+        assert name == "near-rest"
+        raise Seen(df.collect())
+
+    monkeypatch.setattr(near_dup, "durable", durable)
+    monkeypatch.setattr(near_dup, "BLOCK", 10)
+    members = spark.range(43).selectExpr("7L as band", "id")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)], "node long, label long")
+    with pytest.raises(Seen) as e:
+        near_dup._rest(members, labels, None, 80, 4)
+    rows = e.value.args[0]
+    assert len(rows) <= 40 + 3 * 6                                  # 215 when all blocks met all
+    places = {}
+    for r in rows:
+        places.setdefault((r.i, r.j), []).append((r.second, r.id, r.label))
+    met = set()
+    for (i, j), group in places.items():
+        for a in group:
+            for b in group:
+                if a[1] < b[1] and a[2] != b[2] and (i == j or a[0] != b[0]):
+                    assert (a[1], b[1]) not in met
+                    met.add((a[1], b[1]))
+    assert met == {(a, b) for b in range(40, 43) for a in range(b)}
