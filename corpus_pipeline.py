@@ -54,16 +54,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return near_dup.deduplicate(docs)
 
 
-# Passages of over 50 words: runs of repeated strings of 256 bytes, some 50 words of four letters, are cut if
-# they have that many words.
-PASSAGE = {"span": 256, "gram": 32, "min_words": 50, "any_bytes": repeats.SPAN}
-
-
 @_stage
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Runs of 256-byte strings that also start elsewhere are cut if they have
     50 words or 400 bytes."""
-    return _sized(repeats.remove(docs, **PASSAGE))
+    return _sized(repeats.remove(docs, **repeats.PASSAGE))
 
 
 @_stage

@@ -67,6 +67,26 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+MAX_BITMAPS = 8192       # of 4 KB for 32,768 ids each: what a filter on row ids may broadcast
+
+
+def flagged(rows: DataFrame, col: str, ids: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a boolean column ``name``: whether ``col`` is one of those
+    of ``ids``.  By broadcast bitmaps, so that the rows need not move, while
+    there are at most MAX_BITMAPS of them; by a shuffled join beyond."""
+    # Ids move before they are added up: each task would have a bitmap for each bucket.
+    ids = ids.select(col, F.bitmap_bucket_number(col).alias("_bucket"))
+    bits = durable(ids.repartition("_bucket").groupBy("_bucket").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(col)).alias("_bits")), "flag-bits")
+    if bits.count() > MAX_BITMAPS:
+        out = rows.join(ids.select(col, F.lit(True).alias(name)).distinct(), col, "left")
+        return out.withColumn(name, F.coalesce(name, F.lit(False)))
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast(bitmap_bit_position({col}) div 8 as int) + 1, 1)")), 16, 10)
+    bit = byte.cast("int").bitwiseAND(F.pow(F.lit(2), F.bitmap_bit_position(col) % 8).cast("int")) > 0
+    return (rows.withColumn("_bucket", F.bitmap_bucket_number(col)).join(F.broadcast(bits), "_bucket", "left")
+            .withColumn(name, F.coalesce(bit, F.lit(False))).drop("_bucket", "_bits"))
+
+
 def quoted(name: str) -> Column:
     """The column of this name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -62,7 +62,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(read_table(spark, sf_dir, "documents"))
+    return repeats.report(read_table(spark, sf_dir, "documents"), passage=repeats.PASSAGE)
 
 
 @query

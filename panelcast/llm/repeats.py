@@ -21,13 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bundled, durable, quoted, unbundled
+from .common import bundled, durable, flagged, quoted, release, scratch_owner, unbundled
 
 SPAN = 400
 GRAM = 64                # bytes of the grams that windows are assigned by
 SEGMENT = 2048           # windows in a segment at most
 INDEX_BYTES = 1 << 20    # text indexed at once
 HOT_BYTES = 4 << 20      # text of one key beyond which its windows are hashed instead
+# Passages of over 50 words: runs of repeated strings of 256 bytes, some 50 words of four letters, that have that
+# many words or SPAN bytes.
+PASSAGE = {"span": 256, "gram": 32, "min_words": 50, "any_bytes": SPAN}
 _SEP = 0xFF              # no byte of UTF-8
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -93,37 +96,34 @@ def segments(data: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarra
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; only suffixes that still tie are sorted again."""
+    """Suffix array by prefix doubling or tripling; only suffixes that still tie are sorted again."""
     n = len(text)
     key = _words(np.concatenate([text, np.zeros(7, np.uint8)]))
-    # Equal keys of suffixes that reach the end: the shorter comes first.
-    end = np.maximum(0, np.arange(n) - (n - 8))
-    order = np.lexsort((-end, key))
-    tie = (key[order][1:] == key[order][:-1]) & (end[order][1:] == 0) & (end[order][:-1] == 0)
+    # Equal keys of suffixes that reach the end: the shorter comes first, before those that go on.
+    inner = max(0, n - 7)
+    order = np.argsort(key[:inner])
+    last = np.arange(n - 1, inner - 1, -1)
+    last = last[np.argsort(key[last], kind="stable")]
+    order = np.insert(order, np.searchsorted(key[order], key[last]), last)
+    tie = (key[order][1:] == key[order][:-1]) & (order[1:] < inner) & (order[:-1] < inner)
     head = np.concatenate([[True], ~tie])
-    first = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
-    rank[order] = first
-    step = 8
-    while True:
-        size = np.diff(np.flatnonzero(head), append=n)
-        if size.max() == 1:
-            return order
-        open_at = np.flatnonzero(np.repeat(size > 1, size))        # places of suffixes that tie
+    rank = np.zeros(n + 1, np.int64)           # 0: behind the end
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
+    open_at = np.flatnonzero(~head | np.append(tie, False))      # places of suffixes that tie
+    step, fold = 8, 3 if n < 2_000_000 else 2    # three ranks in a number, or two
+    while len(open_at):
         which = order[open_at]
-        follow = which + step
-        second = np.where(follow < n, rank[np.minimum(follow, n - 1)] + 1, 0)
-        place = np.argsort(rank[which] * (n + 1) + second, kind="stable")
-        which, second = which[place], second[place]
-        old = rank[which]
-        new = np.empty(len(which), bool)
-        new[0] = True
-        new[1:] = (old[1:] != old[:-1]) | (second[1:] != second[:-1])
+        sign = rank[which]
+        for k in range(1, fold):
+            sign = sign * (n + 1) + rank[np.minimum(which + k * step, n)]
+        place = np.argsort(sign)
+        which, sign = which[place], sign[place]
+        new = np.concatenate([[True], sign[1:] != sign[:-1]])
         order[open_at] = which
-        head[open_at] = new
-        first = np.maximum.accumulate(np.where(new, open_at, 0))
-        rank[which] = first
-        step *= 2
+        rank[which] = np.maximum.accumulate(np.where(new, open_at, 0)) + 1
+        open_at = open_at[~(new & np.append(new[1:], True))]
+        step *= fold
+    return order
 
 
 class RunIndex:
@@ -233,18 +233,31 @@ def find(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = H
 
 
 def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
+    d = _stored(docs)
+    return d.join(_marks(d, span, gram, hot_bytes), "_rid", "left").select(*docs.columns, "_spans")
+
+
+def _stored(docs: DataFrame) -> DataFrame:
+    return durable(docs.withColumn("_rid", F.monotonically_increasing_id()), "repeats-docs")
+
+
+def _bytes(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode()
+
+
+def _marks(d: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
+    """(_rid, _spans) of the rows of ``d`` (_rid, text and others; the text a
+    string or pieces of UTF-8) that have any."""
     if gram < 8 or gram & (gram - 1) or gram > span:
         raise ValueError("gram must be a power of two from 8 to the span")
-    spark = docs.sparkSession
-    columns = docs.columns
-    d = durable(docs.withColumn("_rid", F.monotonically_increasing_id()), "repeats-docs")
+    spark = d.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["rid", "m", "d1", "d2", "s", "n", "several"]
         for b in batches:
             rid = b.column("_rid").to_numpy()
-            found = [segments((t or "").encode(), span, gram) for t in b.column("text").to_pylist()]
+            found = [segments(_bytes(t), span, gram) for t in b.column("text").to_pylist()]
             owner = np.repeat(rid, [len(x[0]) for x in found])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(owner, pa.int64()), *(pa.array(np.concatenate(c)) for c in zip(*found, strict=True))], names=names)
@@ -272,14 +285,16 @@ def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
             rows = []
             for rid, t, want in zip(b.column("_rid").to_pylist(), b.column("text").to_pylist(),
                                     b.column("_want").to_pylist(), strict=True):
-                data = t.encode()
+                data = _bytes(t)
                 rows += [(x["m"], rid, x["s"], x["c"], x["hot"], data[x["s"]:x["s"] + x["n"] + span - 1]) for x in want]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)],
                                              names=["m", "rid", "s", "c", "hot", "data"])
 
-    taken = durable(d.join(wanted, "_rid").mapInArrow(
+    # Only the texts that are asked for move.
+    asked = flagged(d.select("_rid", "text"), "_rid", wanted, "_asked").where("_asked").drop("_asked")
+    taken = durable(asked.join(wanted, "_rid").mapInArrow(
         take, "m long, rid long, s int, c long, hot boolean, data binary"), "repeats-taken")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,22 +334,26 @@ def _find(docs: DataFrame, span: int, gram: int, hot_bytes: int) -> DataFrame:
     often = hashed.groupBy("h1", "h2").agg(F.sum("c").alias("t")).where("t > 1").select("h1", "h2")
     hot = hashed.join(often, ["h1", "h2"]).select("rid", "a", (F.col("a") + span).alias("b"))
 
-    spans = (whole.unionByName(indexed).unionByName(hot).groupBy(F.col("rid").alias("_rid"))
-             .agg(F.collect_set(F.struct("a", "b")).alias("_spans")))
-    return d.join(spans, "_rid", "left").select(*columns, "_spans")
+    return (whole.unionByName(indexed).unionByName(hot).groupBy(F.col("rid").alias("_rid"))
+            .agg(F.collect_set(F.struct("a", "b")).alias("_spans")))
 
 
-def _kept(data: bytes, spans: list | None, min_words: int = 0, any_bytes: int = 0) -> tuple[list[bytes], int, int]:
-    """What is left of ``data``, bytes removed and runs removed; runs of fewer
-    than ``min_words`` words and ``any_bytes`` bytes stay."""
-    if not spans:
-        return [data], 0, 0
-    x = np.array([(r["a"], r["b"]) for r in spans], np.int64)
+def _runs(data: bytes, spans: list | None, min_words: int = 0, any_bytes: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the marked runs of ``data``; those of fewer than
+    ``min_words`` words and ``any_bytes`` bytes are left out."""
+    x = np.array([(r["a"], r["b"]) for r in spans or ()], np.int64).reshape(-1, 2)
     s, e = merged(x[:, 0], x[:, 1])
     if min_words:
         long = np.array([b - a >= any_bytes or len(data[a:b].split()) >= min_words
-                         for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+                         for a, b in zip(s.tolist(), e.tolist(), strict=True)], bool)
         s, e = s[long], e[long]
+    return s, e
+
+
+def _kept(data: bytes, spans: list | None, min_words: int = 0, any_bytes: int = 0) -> tuple[list[bytes], int, int]:
+    """What is left of ``data``, bytes removed and runs removed; runs of fewer
+    than ``min_words`` words and ``any_bytes`` bytes stay."""
+    s, e = _runs(data, spans, min_words, any_bytes)
     pieces, at = [], 0
     for a, b in zip(s.tolist(), e.tolist(), strict=True):
         pieces.append(data[at:a])
@@ -342,28 +361,78 @@ def _kept(data: bytes, spans: list | None, min_words: int = 0, any_bytes: int =
     return pieces + [data[at:]], int((e - s).sum()), len(s)
 
 
-def report(docs: DataFrame, **options) -> DataFrame:
+def _find_both(docs: DataFrame, span: int, gram: int, hot_bytes: int, short_span: int, short_gram: int) -> DataFrame:
+    """``docs`` with _spans and, for strings of ``short_span`` bytes, _short.
+    A repeated string of ``span`` bytes lies within a run of repeated shorter
+    ones, so the longer are sought in those runs only."""
+    if short_span > span:
+        raise ValueError("a passage's span must not exceed the span")
+    spark, d = docs.sparkSession, _stored(docs)
+    scratch: list[str] = []
+    with scratch_owner(scratch):
+        marks = _marks(d, short_span, short_gram, hot_bytes)
+    short = durable(marks.withColumnRenamed("_spans", "_short"), "repeats-short")
+    release(spark, scratch)
+    d = flagged(d, "_rid", short, "_some")
+    some = d.where("_some").drop("_some").join(short, "_rid")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for rid, t, spans in zip(b.column("_rid").to_pylist(), b.column("text").to_pylist(),
+                                     b.column("_short").to_pylist(), strict=True):
+                data = _bytes(t)
+                rows += [(rid, x, data[x:y]) for x, y in zip(*map(np.ndarray.tolist, _runs(data, spans)), strict=True)
+                         if y - x >= span]
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                                             names=["owner", "at", "text"])
+
+    pieces = _stored(some.select("_rid", "text", "_short").mapInArrow(cut, "owner long, at int, text binary"))
+    moved = F.transform("_spans", lambda x: F.struct((x.a + F.col("at")).alias("a"), (x.b + F.col("at")).alias("b")))
+    long = (pieces.select("_rid", "owner", "at").join(_marks(pieces, span, gram, hot_bytes), "_rid")
+            .groupBy(F.col("owner").alias("_rid")).agg(F.flatten(F.collect_list(moved)).alias("_spans")))
+    out = some.join(long, "_rid", "left").select(*docs.columns, "_spans", "_short")
+    none = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ("_spans", "_short")]
+    return out.unionByName(d.where("NOT _some").select(*docs.columns, *none))
+
+
+def report(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = HOT_BYTES,
+           passage: dict | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256): what is left of each
-    text's bytes without those that ``find`` marks."""
+    text's bytes without those that ``find`` marks.  With ``passage`` (span,
+    gram, min_words and any_bytes as in ``remove``) also n_passages and
+    passage_bytes: the runs that ``remove`` would cut with these, and their
+    bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for t, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
-                data = (t or "").encode()
+            both = zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(),
+                       b.column("_short").to_pylist() if passage else [None] * b.num_rows, strict=True)
+            for t, spans, short in both:
+                data = _bytes(t)
                 pieces, removed, n = _kept(data, spans)
                 sha = hashlib.sha256()
                 for p in pieces:
                     sha.update(p)
-                rows.append((len(data), removed, n, sha.hexdigest()))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]),
-                                              pa.array(cols[3], pa.string())],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return find(docs.select("doc_id", "text"), **options).mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+                row = [len(data), removed, n, sha.hexdigest()]
+                if passage:
+                    s, e = _runs(data, short, passage["min_words"], passage["any_bytes"])
+                    row += [len(s), int((e - s).sum())]
+                rows.append(row)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), *(pa.array(c, pa.string() if n == "kept_sha256" else pa.int64())
+                                       for c, n in zip(cols, names, strict=True))], names=["doc_id", *names])
+
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_passages", "passage_bytes"] * bool(passage)
+    docs = docs.select("doc_id", "text")
+    found = (_find_both(docs, span, gram, hot_bytes, passage["span"], passage["gram"]) if passage
+             else find(docs, span, gram, hot_bytes))
+    return found.mapInArrow(run, ", ".join([f"doc_id {kind}", *(
+        f"{n} {'string' if n == 'kept_sha256' else 'long'}" for n in names)]))
 
 
 def remove(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_bytes: int = HOT_BYTES, min_words: int = 0,
